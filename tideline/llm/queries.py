@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.llm.decontaminate import mark_contamination
+from tideline.llm.licenses import TEMPLATES, scan_licenses
 from tideline.llm.linededup import drop_repeated_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mark_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform(F.filter("places", lambda p: p["base"]), lambda p: p["start"].cast("long"))
+    return out.select("doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), "base_labels", "labels", "score")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -27,7 +40,50 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: A-Z lower-cased; DuckDB's lower() would also change other letters.
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-WORDS = "list_filter(regexp_split_to_array(" + LOWER.format("coalesce(text, '')") + r", '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '')"
+WORDS = "list_filter(regexp_split_to_array(" + LOWER.format("coalesce(text, '')") + r", '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
+OP1_SQL = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
+win AS (
+  SELECT item, unnest(list_transform(range(greatest(len(w) - 10, 0) + 1), lambda i: w[i + 1:i + 10])) AS win
+  FROM b WHERE len(w) > 0),
+d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+place AS (
+  SELECT doc_id, len(win) AS n, unnest(range(greatest(len(w) - len(win) + 1, 0))) AS start, w, len(win) AS size
+  FROM d, (SELECT DISTINCT len(win) AS n, list_resize([0], len(win)) AS win FROM win)),
+hit AS (SELECT p.doc_id, p.start, p.n, win.item FROM place p JOIN win ON win.win = p.w[p.start + 1:p.start + p.n]),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(start, start + n)) AS p FROM hit) GROUP BY doc_id),
+item AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN item USING (doc_id)
+"""
+
+_TEMPLATES = ", ".join(f"({i}, '{t.label}', string_split('{t.text}', ' '), string_split('{t.key}', ' '), {t.base})" for i, t in enumerate(TEMPLATES))
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+t(id, label, text, key, base) AS (VALUES {_TEMPLATES}),
+word AS (SELECT id, unnest(text) AS word, unnest(range(len(text))) AS j FROM t),
+total AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT word, count(*) AS n FROM (SELECT DISTINCT word FROM word) v, d WHERE list_contains(d.w, v.word) GROUP BY word),
+idf AS (SELECT word.id, word.word, j, ln((total.n + 1) / (coalesce(df.n, 0) + 1)) AS idf FROM total, word LEFT JOIN df USING (word)),
+key_at AS (SELECT id, list_position(list_transform(range(len(text) - len(key) + 1), lambda i: text[i + 1:i + len(key)] = key), true) - 1 AS key_at FROM t),
+place AS (
+  SELECT doc_id, id, unnest(list_filter(range(len(w)), lambda i: w[i + 1] = key[1] AND w[i + 1:i + len(key)] = key)) AS start
+  FROM d, t),
+share AS (
+  SELECT place.doc_id, place.id, place.start,
+         CASE WHEN sum(idf) = 0 THEN 1 ELSE sum(CASE WHEN start + j - key_at >= 0 AND d.w[start + j - key_at + 1] = word THEN idf ELSE 0 END) / sum(idf) END AS share
+  FROM place JOIN key_at USING (id) JOIN idf USING (id) JOIN d USING (doc_id) GROUP BY ALL),
+m AS (
+  SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, round(max(share), 6) AS score
+  FROM share JOIN t USING (id) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN m USING (doc_id)
+"""
 
 OP10_SQL = f"""
 WITH l AS (
@@ -44,5 +100,5 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
-QUERIES: dict[str, Query] = {"op10_line_dedup": op10_line_dedup}
-ORACLE_SQL: dict[str, str] = {"op10_line_dedup": OP10_SQL}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op8_license_scan": OP8_SQL, "op10_line_dedup": OP10_SQL}
