@@ -15,6 +15,7 @@ from tideline.llm.chatformat import ESCAPED, LOSS, conversations_as_records, for
 from tideline.llm.decontaminate import mark_contamination
 from tideline.llm.licenses import TEMPLATES, scan_licenses
 from tideline.llm.linededup import drop_repeated_lines
+from tideline.llm.neardup import near_duplicate_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.transform(F.filter("places", lambda p: p["base"]), lambda p: p["start"].cast("long"))
@@ -78,6 +83,23 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN item USING (doc_id)
 """
 
 
+#: Links by all pairs that share a shingle; then the smallest id that links lead to.
+OP5_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' '))) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, a.n AS n, b.n AS m, count(*) AS shared FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT u, v FROM common WHERE 100 * shared >= 75 * (n + m - shared)),
+reach AS (SELECT DISTINCT u AS id, u AS root FROM link UNION SELECT link.v, reach.root FROM reach JOIN link ON link.u = reach.id),
+root AS (SELECT id, min(root) AS root FROM reach GROUP BY id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id, coalesce(root, doc_id) = doc_id AS kept
+FROM s LEFT JOIN root ON id = doc_id
+"""
+
 
 def _escaped_sql(x: str) -> str:
     for plain, coded in ESCAPED:
@@ -138,5 +160,5 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op8_license_scan": OP8_SQL, "op10_line_dedup": OP10_SQL}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op5_near_duplicates": op5_near_duplicates, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op5_near_duplicates": OP5_SQL, "op8_license_scan": OP8_SQL, "op10_line_dedup": OP10_SQL}
