@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.chatformat import ESCAPED, LOSS, conversations_as_records, format_chats, parse_turns
 from tideline.llm.decontaminate import mark_contamination
 from tideline.llm.licenses import TEMPLATES, scan_licenses
 from tideline.llm.linededup import drop_repeated_lines
+from tideline.llm.media import store_as_video
 from tideline.llm.neardup import near_duplicate_groups
+from tideline.llm.toxicity import score_toxicity, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,10 +48,26 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_training(id_col: str = "doc_id") -> Column:
+    """Whether a label may be learned from; the other fifth is held out."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) != 0
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels").where(in_training()))
+    return score_toxicity(docs, model).select("doc_id", (~in_training()).alias("held_out"), "score", "predicted")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return store_as_video(table(spark, sf_dir, "documents").select("doc_id", "text"), results=results).select("doc_id", *results)
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.transform(F.filter("places", lambda p: p["base"]), lambda p: p["start"].cast("long"))
@@ -160,5 +178,5 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op5_near_duplicates": op5_near_duplicates, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op3_toxicity": op3_toxicity, "op5_near_duplicates": op5_near_duplicates, "op6_media": op6_media, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op5_near_duplicates": OP5_SQL, "op8_license_scan": OP8_SQL, "op10_line_dedup": OP10_SQL}
