@@ -17,6 +17,7 @@ from tideline.llm.licenses import TEMPLATES, scan_licenses
 from tideline.llm.linededup import drop_repeated_lines
 from tideline.llm.media import store_as_video
 from tideline.llm.neardup import near_duplicate_groups
+from tideline.llm.spiece import encode_documents, read_model
 from tideline.llm.toxicity import score_toxicity, train
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", (~in_training()).alias("held_out"), "score", "predicted")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), read_model(), ids=False)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "parity")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -178,5 +184,5 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op3_toxicity": op3_toxicity, "op5_near_duplicates": op5_near_duplicates, "op6_media": op6_media, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_near_duplicates": op5_near_duplicates, "op6_media": op6_media, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op5_near_duplicates": OP5_SQL, "op8_license_scan": OP8_SQL, "op10_line_dedup": OP10_SQL}
