@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from tideline.llm.chatformat import ESCAPED, LOSS, conversations_as_records, format_chats, parse_turns
 from tideline.llm.decontaminate import mark_contamination
+from tideline.llm.htmlmodel import extract_text
 from tideline.llm.licenses import TEMPLATES, scan_licenses
 from tideline.llm.linededup import drop_repeated_lines
 from tideline.llm.media import store_as_video
 from tideline.llm.neardup import near_duplicate_groups
 from tideline.llm.spiece import encode_documents, read_model
 from tideline.llm.toxicity import score_toxicity, train
+from tideline.llm.warc import archive, read_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,12 +76,32 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_as_video(table(spark, sf_dir, "documents").select("doc_id", "text"), results=results).select("doc_id", *results)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     starts = F.transform(F.filter("places", lambda p: p["base"]), lambda p: p["start"].cast("long"))
     return out.select("doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), "base_labels", "labels", "score")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, _ = archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    fields = ("record_id", "record_type", "refers_to", "header_digest", "header_length", "payload_digest", "payload_length")
+
+    def page(c: str) -> Column:
+        return F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).cast("long")
+
+    return read_warc(spark, folder, *fields).select(
+        page("record_id").alias("page_id"),
+        F.coalesce("payload_length", "header_length").alias("payload_bytes"),
+        F.coalesce("payload_digest", F.substring_index("header_digest", ":", -1)).alias("payload_digest"),
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -169,6 +191,15 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
 FROM d LEFT JOIN m USING (doc_id)
 """
 
+OP9_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS d FROM pages),
+k AS (SELECT d, max(page_id) AS keeper FROM p WHERE octet_length(b) >= 1000 GROUP BY d HAVING count(*) > 1)
+SELECT page_id, octet_length(b) AS payload_bytes, d AS payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (d)
+"""
+
 OP10_SQL = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -184,5 +215,5 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
-QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_near_duplicates": op5_near_duplicates, "op6_media": op6_media, "op8_license_scan": op8_license_scan, "op10_line_dedup": op10_line_dedup}
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op5_near_duplicates": OP5_SQL, "op8_license_scan": OP8_SQL, "op10_line_dedup": OP10_SQL}
+QUERIES: dict[str, Query] = {"op1_decontamination": op1_decontamination, "op2_chat_format": op2_chat_format, "op3_toxicity": op3_toxicity, "op4_sentencepiece": op4_sentencepiece, "op5_near_duplicates": op5_near_duplicates, "op6_media": op6_media, "op7_html_extraction": op7_html_extraction, "op8_license_scan": op8_license_scan, "op9_warc": op9_warc, "op10_line_dedup": op10_line_dedup}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_chat_format": OP2_SQL, "op5_near_duplicates": OP5_SQL, "op8_license_scan": OP8_SQL, "op9_warc": OP9_SQL, "op10_line_dedup": OP10_SQL}
