@@ -14,63 +14,164 @@ from tideline.llm.components import components
 BANDS, ROWS = 32, 4
 #: A link: 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
+#: Members of a bucket that one task compares with as many others at once.
+BLOCK = 512
+#: Bytes of a shingle's hash in the table of sets.
+HASH_BYTES = 6
+
+
+
+
+def _digest(s) -> tuple[int, int]:
+    d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
 def _sketch(bands: int, rows: int):
+    """Batches of (id, text) to (id, size, digest in two halves, band keys) of their sets."""
+
     def sketch(batches):
         import pyarrow as pa
 
         from tideline.llm._shingles import bands_of, shingle_sets
 
         for batch in batches:
-            ids, sizes, digests, keys = batch.column(0), [], [], []
+            sizes, digests = [], []
 
             def sets(column=batch.column(1), sizes=sizes, digests=digests):
                 for s in shingle_sets(column):
                     sizes.append(len(s))
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    digests.append(_digest(s))
                     yield s
 
             keys = list(bands_of(sets(), bands, rows))
-            a = [int.from_bytes(d[:8], "little", signed=True) for d in digests]
-            b = [int.from_bytes(d[8:], "little", signed=True) for d in digests]
-            columns = [ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            columns = [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array([a for a, _ in digests], pa.int64()), pa.array([b for _, b in digests], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n", "a", "b", "bands"])
 
     return sketch
 
 
+def _whole_sets(batches):
+    """Batches of texts to (first half of the digest, packed set)."""
+    import pyarrow as pa
+
+    from tideline.llm._shingles import shingle_sets
+
+    for batch in batches:
+        keys, sets = [], []
+        for s in shingle_sets(batch.column(0)):
+            keys.append(_digest(s)[0])
+            sets.append(s.astype("<u8").view("u1").reshape(-1, 8)[:, 8 - HASH_BYTES :].tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["a", "s"])
+
+
+def _unpack(s: bytes):
+    """A packed set as a sorted array: the leading bytes of sorted hashes are sorted."""
+    import numpy as np
+
+    out = np.zeros((len(s) // HASH_BYTES, 8), dtype="u1")
+    out[:, :HASH_BYTES] = np.frombuffer(s, "u1").reshape(-1, HASH_BYTES)
+    return out.view("<u8").ravel()
+
+
+def _similar(x, y, threshold: int) -> bool:
+    import numpy as np
+
+    small, large = sorted((len(x), len(y)))
+    if 100 * small < threshold * large:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= threshold * (small + large - both)
+
+
 def _verify(threshold: int):
+    """Batches of (u, v, u's set, v's set) to those (u, v) that are similar; rows of one u stand together."""
+
     def verify(batches):
-        import numpy as np
         import pyarrow as pa
 
-        from tideline.llm._shingles import shingle_sets
-
         center, center_set = None, None
         for batch in batches:
-            u, v, uu, vv = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], []
-            texts = batch.column(2)
-            for i, s in enumerate(shingle_sets(batch.column(3))):
+            u, v = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keep = []
+            for i in range(len(u)):
                 if u[i] != center:
-                    center, center_set = u[i], next(iter(shingle_sets(texts.slice(i, 1))))
-                small, large = min(len(s), len(center_set)), max(len(s), len(center_set))
-                if small and 100 * small >= threshold * large:
-                    both = len(np.intersect1d(s, center_set, assume_unique=True))
-                    if 100 * both >= threshold * (small + large - both):
-                        uu.append(u[i])
-                        vv.append(v[i])
-            yield pa.RecordBatch.from_arrays([pa.array(uu, pa.int64()), pa.array(vv, pa.int64())], ["u", "v"])
+                    center, center_set = u[i], _unpack(batch.column(2)[i].as_py())
+                if _similar(center_set, _unpack(batch.column(3)[i].as_py()), threshold):
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array([u[i] for i in keep], pa.int64()), pa.array([v[i] for i in keep], pa.int64())], ["u", "v"])
 
     return verify
 
 
-def _links(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
-    """Of the pairs (u, v), those whose whole texts are similar enough."""
-    v = texts.select(F.col("__id").alias("v"), F.col("__text").alias("v_text"))
-    u = texts.select(F.col("__id").alias("u"), F.col("__text").alias("u_text"))
-    both = cut(pairs).join(v, "v").join(u, "u").select("u", "v", "u_text", "v_text")
-    return map_batches(both, _verify(threshold), "u long, v long")
+def _common(left: list, right: list):
+    """The sizes of all intersections of two lists of sets, by a product of their incidence matrices."""
+    import numpy as np
+
+    both = np.concatenate([*left, *right])
+    _, column = np.unique(both, return_inverse=True)
+    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    step = 4096
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        i, j = np.searchsorted(column, [low, low + step])
+        m = np.zeros((len(left) + len(right), step), dtype=np.float32)
+        m[row[i:j], column[i:j] - low] = 1
+        out += m[: len(left)] @ m[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _cross(threshold: int):
+    """Of blocks of (bucket, i, j, side, a, root, set), rows of a block together: links that join roots not joined yet.
+
+    Side 1 is compared with side 2, and with itself where there is no side 2 but rows of both kinds are marked 3.
+    """
+
+    def links(rows: list[tuple]) -> list[tuple[int, int]]:
+        import numpy as np
+
+        left, right = [r for r in rows if r[0] & 1], [r for r in rows if r[0] & 2]
+        if not left or not right:
+            return []
+        ls, rs = [_unpack(r[3]) for r in left], [_unpack(r[3]) for r in right]
+        n, m = np.array([len(x) for x in ls]), np.array([len(x) for x in rs])
+        both = _common(ls, rs)
+        union = n[:, None] + m[None, :] - both
+        apart = np.array([r[2] for r in left])[:, None] != np.array([r[2] for r in right])[None, :]
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        out = []
+        for i, j in np.argwhere(apart & (100 * both >= threshold * union)):
+            x, y = find(left[i][2]), find(right[j][2])
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((left[i][1], right[j][1]))
+        return out
+
+    def cross(batches):
+        import pyarrow as pa
+
+        key, rows = None, []
+
+        def answer(found):
+            return pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
+
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r[:3] != key:
+                    yield answer(links(rows))
+                    key, rows = r[:3], []
+                rows.append(r[3:])
+        yield answer(links(rows))
+
+    return cross
 
 
 def near_duplicate_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bands: int = BANDS, rows: int = ROWS, threshold: int = THRESHOLD) -> DataFrame:
@@ -79,42 +180,60 @@ def near_duplicate_groups(docs: DataFrame, text_col: str = "text", id_col: str =
     Two documents are linked where their sets of distinct five-word shingles have 100 * intersection >= threshold *
     union; component_id is the smallest id that links lead to; kept marks the document that has it.
 
-    1. One pass gives each document its set's size and digest and the keys of its bands.
-    2. Documents with equal sets are one node, under their smallest id.
-    3. In each bucket of nodes that share a band, all are paired with the smallest, and verified on their full sets.
-    4. The links give components. Buckets whose nodes are still in several components are then joined with
-       themselves, across components only and where the sizes allow a link; each such pair is verified too. So every
-       pair that shares a band is linked or proven to be in one component already or not similar.
+    1. One pass gives each document its set's size and digest and the keys of its bands. Documents with equal sets
+       are one node, named by the digest, from here on.
+    2. Nodes that share a band are a bucket; of buckets with the same nodes one is left. The sets of nodes in buckets
+       are made once more, as the only other use of the texts, and kept.
+    3. In each bucket all nodes are paired with the first and verified on their full sets; the links give components.
+    4. In buckets whose nodes are still in several components, the nodes outside the largest are compared with all
+       others, block by block, so that a large bucket is many tasks. Only links that join components leave a task.
+       So every pair that shares a band is linked, or in one component already, or not similar.
 
     A null, empty or blank text has an empty set and is linked with nothing. A row with a null id is linked with
     nothing, its component_id is null and it is kept. Repeated rows share a set, a component and kept. Ids are
-    integers; rows that share an id but not a text are one node of the graph, under the texts whose smallest id it is.
-    Empty tables stay empty. Other input columns take no part.
+    integers; rows that share an id but not a text are nodes of their own. Empty tables stay empty. Other input
+    columns take no part.
+
+    Nothing but counts reaches the driver. Step 4 compares pairs, in memory, where nodes share a band without being
+    similar to the bucket's first: its work, though not its output, grows with their number times the bucket's.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketched = cut(map_batches(texts, _sketch(bands, rows), "id long, n long, a long, b long, bands array<long>"))
     sets = sketched.where("n > 0 AND id IS NOT NULL")
-    first = sets.groupBy("a", "b").agg(F.min("id").alias("id"))
-    nodes = sets.join(first, ["a", "b", "id"], "left_semi").select("id", "n", F.explode("bands").alias("band"))
-    centers = cut(nodes.groupBy("band").agg(F.min("id").alias("center"), F.count("*").alias("k")).where("k > 1").drop("k"))
-    members = cut(nodes.join(centers, "band"))
-    pairs = members.where("id <> center").select(F.col("center").alias("u"), F.col("id").alias("v")).distinct()
-    links = cut(_links(pairs, texts, threshold))
+    first = cut(sets.groupBy("a").agg(F.min("id").alias("id")))
+    banded = sets.select("a", F.explode("bands").alias("band"))
+    buckets = cut(banded.groupBy("band").agg(F.min("a").alias("center"), F.max("a").alias("last")).where("center <> last").drop("last"))
+    members = cut(banded.join(buckets, "band").distinct())
+    same = members.groupBy("band").agg(F.count("*").alias("k"), F.sum(F.xxhash64("a").cast("decimal(38,0)")).alias("h"))
+    members = cut(members.join(same.groupBy("k", "h").agg(F.min("band").alias("band")).drop("h"), "band"))
+    wanted = members.select("a").distinct().join(first, "a").select("id")
+    whole = cut(map_batches(texts.join(wanted, "id", "left_semi").select("text"), _whole_sets, "a long, s binary"))
+
+    pairs = members.where("a <> center").select(F.col("center").alias("u"), F.col("a").alias("v")).distinct()
+    both = cut(pairs).join(whole.select(F.col("a").alias("v"), F.col("s").alias("vs")), "v").join(whole.select(F.col("a").alias("u"), F.col("s").alias("us")), "u")
+    links = cut(map_batches(both.select("u", "v", "us", "vs"), _verify(threshold), "u long, v long"))
     roots = components(links)
 
-    placed = members.join(roots, "id", "left").select("band", "id", "n", F.coalesce("root", "id").alias("root"))
-    placed = cut(placed.distinct())
-    mixed = cut(placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band"))
-    if mixed.limit(1).count():
-        open_ = placed.join(mixed, "band", "left_semi")
-        x, y = open_.alias("x"), open_.alias("y")
-        fits = (F.col("x.root") < F.col("y.root")) & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n"))
-        rest = x.join(y, (F.col("x.band") == F.col("y.band")) & fits).select(F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct()
-        roots = components(links.union(_links(rest, texts, threshold)))
-
-    grouped = cut(first.join(roots, "id", "left").select("a", "b", F.coalesce("root", "id").alias("component")))
-    found = sketched.join(grouped, ["a", "b"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    placed = cut(members.join(roots.withColumnRenamed("id", "a"), "a", "left").select("band", "a", "k", F.coalesce("root", "a").alias("root")))
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("size"))
+    mixed = cut(sizes.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("major"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    open_ = placed.join(mixed, "band").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+    mine, every = F.pmod(F.xxhash64("a"), "blocks").cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    outside, one = F.col("root") != F.col("major"), F.col("blocks") == 1
+    left = open_.where(outside & ~one).select("band", mine.alias("i"), F.explode(every).alias("j"), F.lit(1).alias("side"), "a", "root")
+    right = open_.where(~one).select("band", F.explode(every).alias("i"), mine.alias("j"), F.lit(2).alias("side"), "a", "root")
+    whole_bucket = open_.where(one).select("band", F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(outside, 3).otherwise(2).alias("side"), "a", "root")
+    blocks = left.union(right).union(whole_bucket).join(whole, "a").select("band", "i", "j", "side", "a", "root", "s")
+    blocks = blocks.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "a")
+    more = cut(map_batches(blocks, _cross(threshold), "u long, v long"))
+    if more.limit(1).count():
+        roots = components(links.union(more))
+
+    labelled = first.join(roots.withColumnRenamed("id", "a"), "a", "left").select("a", "id", F.coalesce("root", "a").alias("root"))
+    least = cut(labelled.groupBy("root").agg(F.min("id").alias("component")))
+    grouped = cut(labelled.join(least, "root").select("a", "component"))
+    found = sketched.select("id", "n", "a").join(grouped, "a", "left")
+    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
