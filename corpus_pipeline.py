@@ -1,4 +1,69 @@
-"""Corpus pipeline: documents through the stages below, each written as Parquet and read again by the next."""
-STAGES = []
+"""The corpus pipeline: documents through the stages below, each written as Parquet and read again by the next."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.llm._shared import shared_folder
+from tideline.llm.decontaminate import mark_contamination
+from tideline.llm.linededup import drop_repeated_lines
+from tideline.llm.neardup import drop_near_duplicates
+from tideline.llm.queries import in_training, table
+from tideline.llm.spiece import encode_documents, read_model
+from tideline.llm.toxicity import score_toxicity, train
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labels that may be learned from, doesn't reject."""
+    model = train(docs, table(spark, sf_dir, "labels").where(in_training()))
+    return score_toxicity(docs, model).where("predicted = 0").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many share; their n_chars follows."""
+    out = drop_repeated_lines(docs)
+    changed = F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return mark_contamination(docs, table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(docs.columns)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens, with proof that they decode to the text and equal the library's."""
+    out = encode_documents(docs, read_model())
+    return out.select("doc_id", "lang", "source", "n_tokens", "token_ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "round_trip", "parity")
+
+
+STAGES = [("toxicity", toxicity), ("line dedup", line_dedup), ("MinHash near-dedup", near_dedup), ("benchmark decontamination", decontamination), ("SentencePiece encoding and decoding", sentencepiece)]
+
+#: The first stage is a trained classifier, which SQL can't express.
 ORACLE_SQL = None
-run = None
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows, read from the shared folder; what earlier stages wrote is deleted as soon as it is used."""
+    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{folder}/{k}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            _delete(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return docs
