@@ -106,12 +106,17 @@ class Members:
             state = {"end": at + size if size else None}
 
             def rest(inflate=inflate, begun=begun, fed=fed, state=state) -> bytes:
-                parts = [begun, inflate.decompress(inflate.unconsumed_tail)] if inflate.unconsumed_tail else [begun]
+                parts = [begun]
+                if inflate.unconsumed_tail:
+                    parts.append(inflate.decompress(inflate.unconsumed_tail))
                 stop = state["end"] or len(data)
-                if not inflate.eof and fed < stop:
-                    parts.append(inflate.decompress(data[fed:stop]))
-                parts.append(inflate.flush())
-                state["end"] = state["end"] or stop - len(inflate.unused_data) + 8
+                step = stop - fed if state["end"] else 1 << 16
+                while not inflate.eof and fed < stop:
+                    parts.append(inflate.decompress(data[fed : min(fed + step, stop)]))
+                    fed = min(fed + step, stop)
+                if not inflate.eof:
+                    raise ValueError("a record is cut off")
+                state["end"] = state["end"] or fed - len(inflate.unused_data) + 8
                 return b"".join(parts)
 
             yield headers, rest
