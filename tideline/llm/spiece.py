@@ -9,6 +9,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,7 +96,7 @@ def build_tokenizer(model: Model):
         raise ValueError("models with user-defined pieces, marks after words or plain spaces are not supported")
     unk = model.pieces[model.unk_id][0]
     if model.kind == BPE:
-        core = models.BPE({p: i for i, (p, _, _) in enumerate(model.pieces)}, _merges(model), unk_token=unk, fuse_unk=True, byte_fallback=model.byte_fallback, cache_capacity=100_000)
+        core = models.BPE({p: i for i, (p, _, _) in enumerate(model.pieces)}, _merges(model), unk_token=unk, fuse_unk=True, byte_fallback=model.byte_fallback, cache_capacity=1000)
     elif model.kind == UNIGRAM:
         core = models.Unigram([(p, s) for p, s, _ in model.pieces], model.unk_id, model.byte_fallback)
     else:
@@ -114,8 +115,10 @@ def build_tokenizer(model: Model):
     return out
 
 
-#: Words whose ids a worker remembers; beyond it, it starts anew.
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers; beyond it, it starts anew. So many are encoded in a call.
+REMEMBERED, AT_ONCE = 100_000, 10_000
+#: Rows of a batch that are worked on at once.
+SLICE = 256
 
 
 class Codec:
@@ -133,52 +136,60 @@ class Codec:
         self.plain = not self.model.charsmap and not self.model.squeeze_spaces
         if self.by_word:
             self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
         self.differ: set[str] = set()
         self.split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         #: What a piece decodes to; None where that depends on its neighbours.
-        self.text_of: list[str | None] = []
-        for piece, _, kind in self.model.pieces:
+        self.text_of = np.empty(len(self.model.pieces), dtype=object)
+        for i, (piece, _, kind) in enumerate(self.model.pieces):
             byte = int(piece[3:5], 16) if kind == BYTE else None
-            self.text_of.append(piece.replace(MARK, " ") if byte is None else chr(byte) if byte < 128 else None)
+            self.text_of[i] = piece.replace(MARK, " ") if byte is None else chr(byte) if byte < 128 else None
 
     def normalize(self, text: str) -> str:
         if not self.plain:
             return self.normalizer.normalize_str(text)
         return (MARK * (self.model.dummy_prefix and text != "") + text).replace(" ", MARK)
 
-    def encode(self, texts: list[str], library=None) -> tuple[list[list[int]], list[bool | None]]:
-        """The ids of each text and, given the sentencepiece library's processor, whether it has the same.
-
-        Words are compared as they are learned, each as the text that it alone would be; whole texts are where they
-        are encoded whole.
+    def learn(self, new: list[str], library) -> None:
+        """Encodes words, and compares each, as the text that it alone would be, with the sentencepiece library."""
+        skip = int(self.model.dummy_prefix)
+        for at in range(0, len(new), AT_ONCE):
+            part = new[at : at + AT_ONCE]
+            coded = [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            self.words.update(zip(part, coded, strict=True))
+            if library:
+                checked = [w for w in part if len(w) > skip]  # a mark alone has one encoding
+                alone = library.encode([w[skip:].replace(MARK, " ") for w in checked], num_threads=1)
+                self.differ.update(w for w, ids in zip(checked, alone, strict=True) if self.words[w] != np.array(ids, "<i4").tobytes())
+
+    def encode(self, texts: list[str], library=None) -> tuple[list[bytes], list[bool | None]]:
+        """The ids of each text, as 32-bit little-endian integers, and, given the library's processor, whether it has the same.
+
+        Words are compared as they are learned; whole texts are where they are encoded whole.
         """
         if not self.by_word:
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return coded, [x == y for x, y in zip(coded, library.encode(texts, num_threads=1), strict=True)] if library else [None] * len(texts)
-        split = [self.split(self.normalize(t)) for t in texts]
+            coded = [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return coded, [x == np.array(y, "<i4").tobytes() for x, y in zip(coded, library.encode(texts, num_threads=1), strict=True)] if library else [None] * len(texts)
+        coded, same = [], []
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        new = list({w for words in split for w in words if w not in self.words})
-        self.words.update(zip(new, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        known = self.words
-        coded = [[i for w in words for i in known[w]] for words in split]
-        if not library:
-            return coded, [None] * len(texts)
-        skip = int(self.model.dummy_prefix)
-        checked = [w for w in new if len(w) > skip]  # a mark alone has one encoding
-        alone = library.encode([w[skip:].replace(MARK, " ") for w in checked], num_threads=1)
-        self.differ.update(w for w, ids in zip(checked, alone, strict=True) if known[w] != tuple(ids))
-        return coded, [self.differ.isdisjoint(words) for words in split] if self.differ else [True] * len(texts)
-
-    def decode(self, coded: list[list[int]]) -> list[str]:
-        of, out = self.text_of, []
-        for ids in coded:
+        split = [self.split(self.normalize(t)) for t in texts]
+        self.learn(list({w for words in split for w in words if w not in self.words}), library)
+        known, differ = self.words, self.differ
+        for words in split:
+            coded.append(b"".join([known[w] for w in words]))
+            same.append(not differ or differ.isdisjoint(words) if library else None)
+        return coded, same
+
+    def decode(self, coded: list[bytes]) -> list[str]:
+        out = []
+        for data in coded:
+            ids = np.frombuffer(data, "<i4")
             try:
-                text = "".join([of[i] for i in ids])
+                text = "".join(self.text_of[ids].tolist())
                 out.append(text[1:] if self.model.dummy_prefix and text.startswith(" ") else text)
             except TypeError:  # bytes of longer characters
-                out.append(self.tokenizer.decode(ids, skip_special_tokens=False))
+                out.append(self.tokenizer.decode(ids.tolist(), skip_special_tokens=False))
         return out
 
 
@@ -220,20 +231,21 @@ def encode_documents(docs: DataFrame, model: bytes, text_col: str = "text", veri
     names = [f.name for f in keep]
 
     def apply(batches):
-        import numpy as np
         import pyarrow as pa
 
         codec = _ready(model)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             coded, same = codec.encode(texts, _library(model) if verify else None)
             back = codec.decode(coded)
-            columns = [pa.array(map(len, coded), pa.int64())]
+            ends = np.cumsum([0, *(len(x) // 4 for x in coded)])
+            columns = [pa.array(np.diff(ends), pa.int64())]
             if ids:
-                columns += [pa.array(coded, pa.list_(pa.int32())), pa.array(back, pa.string())]
+                values = pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32())
+                columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(back, pa.string())]
             else:
                 columns.append(pa.array([hashlib.sha256(x.encode()).hexdigest() for x in back], pa.string()))
-            columns.append(pa.array([hashlib.sha256(np.array(x, "<i4").tobytes()).hexdigest() for x in coded], pa.string()))
+            columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in coded], pa.string()))
             columns.append(pa.array([x == y for x, y in zip(texts, back, strict=True)], pa.bool_()))
             columns.append(pa.array(same, pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*names, *(r for r, _ in results)])
