@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm._native import ROW, SPACE, ascii_lower, hash_pair, let, replace_columns, with_row_key
+from tideline.llm._shared import cut
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -44,13 +45,13 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     lines stay. No rows in, no rows out. Input columns named n_lines or n_dropped are replaced; all others stay.
 
     Lines are grouped by 128 bits of hash. Counting combines on the map side, so that a line that a third of all
-    documents share costs a row for each task. The join of lines with the shared keys is an inner equi-join that
-    adaptive execution splits where a key is hot. Only hashes and positions are shuffled for it; the texts move once,
+    documents share costs a row for each task. Shared keys are written to the shared folder, so that their join with
+    the lines is one of two plain tables, whose hot partitions adaptive execution splits. Only hashes and positions are shuffled for it; the texts move once,
     by row key, to meet their lists of dropped positions.
     """
     keyed = _keyed(with_row_key(docs, id_col, text_col), text_col, min_chars)
     once = keyed.select(F.col(id_col).alias("__id"), F.explode(F.array_distinct(F.transform("__keys", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))).alias("k"))
-    shared = once.groupBy(F.col("k.a").alias("a"), F.col("k.b").alias("b")).agg(F.count("*").alias("n"), F.max("__id").alias("__keeper")).where(F.col("n") >= min_docs).drop("n")
+    shared = cut(once.groupBy(F.col("k.a").alias("a"), F.col("k.b").alias("b")).agg(F.count("*").alias("n"), F.max("__id").alias("__keeper")).where(F.col("n") >= min_docs).drop("n"))
     lines = keyed.select(*ROW, F.col(id_col).alias("__id"), F.explode("__keys").alias("k")).select(*ROW, "__id", "k.pos", "k.a", "k.b")
     dropped = lines.join(shared, ["a", "b"]).where(~F.col("__id").eqNullSafe(F.col("__keeper"))).groupBy(*ROW).agg(F.collect_set("pos").alias("__dropped"))
     both = with_row_key(docs, id_col, text_col).join(dropped, ROW, "left")
