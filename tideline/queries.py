@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tideline.functions import convert as V
 from tideline.operators import changelog as L
+from tideline.operators import extend as X
 from tideline.operators import handover as H
 from tideline.operators import merge as M
+from tideline.operators import mvcc as B
 from tideline.operators import snapshot as S
 from tideline.operators import twophase as P
 from tideline.plans import chunks as K
@@ -315,6 +317,47 @@ def resolved_over_regions(spark, sf_dir):
     return P.resolved_over(e.select((F.col("user_id") % 4).alias("region"), F.col("event_id").alias("resolved_ts")))
 
 
+@query("""
+WITH v AS (
+  SELECT event_id % 700 AS key, event_id AS commit_ts, CASE event_type WHEN 'error' THEN 'delete' ELSE 'put' END AS op, event_type AS value FROM events
+  UNION ALL SELECT event_id % 700, event_id * 2 + 1, 'put', 'locked' FROM events WHERE event_id % 11 = 0 AND event_id % 3 <> 0 AND event_id <= 6000 AND event_id * 2 + 1 <= 6000)
+SELECT key, arg_max(value, commit_ts) AS value FROM v WHERE commit_ts <= 6000 GROUP BY key HAVING arg_max(op, commit_ts) = 'put'""")
+def mvcc_snapshot(spark, sf_dir):
+    """Users' last writes at a version, with the writes behind locks that were committed by then."""
+    e, i = table(spark, sf_dir, "events"), F.col("event_id")
+    versions = e.select((i % 700).alias("key"), i.alias("commit_ts"), F.when(F.col("event_type") == "error", "delete").otherwise("put").alias("op"), F.col("event_type").alias("value"))
+    locks = e.where("event_id % 11 = 0").select((i % 700).alias("key"), i.alias("start_ts"), i.alias("primary"), F.lit("put").alias("op"), F.lit("locked").alias("value"))
+    commits = e.where("event_id % 11 = 0").select(i.alias("primary"), i.alias("start_ts"), F.when(i % 3 != 0, i * 2 + 1).alias("commit_ts"))
+    return B.at_version(B.resolve_locks(versions, locks, commits, 6000), 6000)
+
+
+@query(f"WITH {LOG_SQL} SELECT event_type AS table_id, count(*) AS n FROM log WHERE event_type IN ('view', 'click') GROUP BY 1")
+def unknown_tables_skipped(spark, sf_dir):
+    known = spark.createDataFrame([("view",), ("click",)], "table_id string")
+    log = change_log(spark, sf_dir).withColumn("table_id", F.col("event_type"))
+    return X.of_known_tables(log, known, "skip").groupBy("table_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, 'k' AS name, CAST(json_extract(props, '$.k') AS BIGINT) AS n FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'id', event_id FROM events WHERE event_id % 4 = 0")
+def custom_deserializer(spark, sf_dir):
+    """A user's function that makes none, one or two rows of a record."""
+    import json
+
+    def rows(r):
+        if r["event_id"] % 2 == 0:
+            yield {"event_id": r["event_id"], "name": "k", "n": json.loads(r["props"])["k"]}
+        if r["event_id"] % 4 == 0:
+            yield {"event_id": r["event_id"], "name": "id", "n": r["event_id"]}
+
+    return X.deserialize(table(spark, sf_dir, "events").select("event_id", "props"), rows, "event_id long, name string, n long")
+
+
+@query(f"WITH {LOG_SQL} SELECT pos, event_id FROM log WHERE pos > 4000 AND pos <= 7000")
+def bounded_log_read(spark, sf_dir):
+    """What a backfill reads: (low, high]."""
+    return change_log(spark, sf_dir).where((F.col("pos") > 4000) & (F.col("pos") <= 7000)).select("pos", "event_id")
+
+
 # --- startup and offsets ---
 
 @query(f"WITH {LOG_SQL}, t AS (SELECT floor(epoch(ts)) AS s FROM log WHERE pos = 100) SELECT pos, event_id FROM log, t WHERE epoch(ts) >= s")
