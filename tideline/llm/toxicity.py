@@ -56,20 +56,25 @@ def fit(column, labels):
     from tideline.llm._shingles import _chunks
 
     y = np.asarray(labels, dtype=np.float64)
-    ofs, buckets, base = [], [], 0
-    for data, ends in _chunks(column):
-        of, bucket = _distinct(*_buckets(data, np.concatenate([[0], ends])))
-        ofs.append(of + base)
-        buckets.append(bucket)
-        base += len(ends)
     prior = (y.sum() + 1) / (len(y) + 2)
     bias = float(np.log(prior / (1 - prior)))
-    if not len(y) or y.min() == y.max() or not sum(map(len, buckets)):
-        return np.empty(0, np.int32), np.empty(0, np.float32), bias
-    of, bucket = np.concatenate(ofs), np.concatenate(buckets)
+    none = np.empty(0, np.int32), np.empty(0, np.float32), bias
+    if not len(y) or y.min() == y.max():
+        return none
+
+    def grams():
+        """(text, bucket) of each text's distinct n-grams, some texts at a time."""
+        base = 0
+        for data, ends in _chunks(column):
+            of, bucket = _distinct(*_buckets(data, np.concatenate([[0], ends])))
+            yield of + base, bucket
+            base += len(ends)
+
     n = 1 << BUCKET_BITS
-    pos = np.bincount(bucket, weights=y[of], minlength=n)
-    every = np.bincount(bucket, minlength=n)
+    pos, every = np.zeros(n), np.zeros(n)
+    for of, bucket in grams():
+        pos += np.bincount(bucket, weights=y[of], minlength=n)
+        every += np.bincount(bucket, minlength=n)
     p, q = pos + SMOOTHING, every - pos + SMOOTHING
     ratio = np.log((p / p.sum()) / (q / q.sum()))
     expected = every * y.mean()
@@ -77,10 +82,15 @@ def fit(column, labels):
     surety[every < MIN_TEXTS] = 0
     chosen = np.sort(np.argsort(-surety, kind="stable")[:FEATURES])
     chosen = chosen[surety[chosen] > 0]
+    if not len(chosen):
+        return none
     index = np.full(n, -1, dtype=np.int32)
     index[chosen] = np.arange(len(chosen))
-    feature = index[bucket]
-    of, feature = of[feature >= 0], feature[feature >= 0]
+    kept = []
+    for of, bucket in grams():  # once more, so that only features are held
+        feature = index[bucket]
+        kept.append((of[feature >= 0], feature[feature >= 0]))
+    of, feature = (np.concatenate(x) for x in zip(*kept, strict=True))
     scale = ratio[chosen]
     w, b, m, v = np.zeros(len(chosen)), bias, np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     x = scale[feature]
