@@ -87,6 +87,24 @@ def test_toxicity_on_held_out_texts(spark):
     assert {r.score for r in X.score_toxicity(docs(spark), prior).collect()} == {0.5}
 
 
+def test_a_cap_on_labels_leaves_predictions_nearly_unchanged(spark):
+    rng = random.Random(9)
+    plain = ["".join(rng.choices("aeiounrst", k=rng.randint(2, 8))) for _ in range(300)]
+
+    def text(bad):  # the words tell the classes apart only in part
+        w = rng.choices(plain, k=rng.randint(10, 60))
+        for _ in range(rng.choice([1, 2]) if bad else rng.choice([0, 0, 0, 1])):
+            w.insert(rng.randrange(len(w)), rng.choice(["scoundrel", "knave"]))
+        return " ".join(w)
+
+    rows = [(i, text(i % 10 == 0), int(i % 10 == 0)) for i in range(3000)]
+    texts = docs(spark, [t for _, t, _ in rows]).cache()
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 2000], "doc_id long, toxic int")
+    out = [{r.doc_id: r for r in X.score_toxicity(texts, X.train(texts, labels, rows_per_class=n)).collect()} for n in (2000, 200)]
+    whole, capped = ([by[i] for i in range(2000, 3000)] for by in out)
+    assert np.mean([a.predicted != b.predicted for a, b in zip(whole, capped, strict=True)]) < 0.05
+
+
 # --- SentencePiece ---
 
 

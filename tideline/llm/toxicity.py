@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 
 from pyspark.sql import DataFrame
@@ -49,14 +50,20 @@ def _distinct(of, bucket):
     return (key >> BUCKET_BITS).astype(np.int32), (key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
 
 
-def fit(column, labels):
-    """(buckets, weights, bias) of the model, from a column of texts and an array of 0 and 1."""
+def fit(column, labels, per_class=(1.0, 1.0)):
+    """(buckets, weights, bias) of the model, from a column of texts and an array of 0 and 1.
+
+    per_class has for how many labels a text of class 0 and of class 1 stands, where the classes are sampled at
+    different rates: the prior and the loss weigh texts by it. Which n-grams are features, and their ratios, are
+    found within classes or against the sample's own shares, so that neither moves with the rates.
+    """
     import numpy as np
 
     from tideline.llm._shingles import _chunks
 
     y = np.asarray(labels, dtype=np.float64)
-    prior = (y.sum() + 1) / (len(y) + 2)
+    stands = np.where(y > 0, per_class[1], per_class[0])
+    prior = ((stands * y).sum() + 1) / (stands.sum() + 2)
     bias = float(np.log(prior / (1 - prior)))
     none = np.empty(0, np.int32), np.empty(0, np.float32), bias
     if not len(y) or y.min() == y.max():
@@ -94,11 +101,12 @@ def fit(column, labels):
     scale = ratio[chosen]
     w, b, m, v = np.zeros(len(chosen)), bias, np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     x = scale[feature]
-    norm = np.sqrt(max(1.0, np.bincount(of, weights=x * x, minlength=len(y)).mean()))
+    norm = np.sqrt(max(1.0, np.average(np.bincount(of, weights=x * x, minlength=len(y)), weights=stands)))
     x = x / norm
+    share = stands / stands.sum()
     for step in range(1, STEPS + 1):  # Adam on the penalised log loss
         z = np.bincount(of, weights=x * w[feature], minlength=len(y)) + b
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
         g = np.append(np.bincount(feature, weights=x * error[of], minlength=len(w)) + PENALTY / len(y) * w, error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         d = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
@@ -125,7 +133,7 @@ def predict(column, model):
     return np.concatenate(out) if out else np.empty(0)
 
 
-def _train(batches):
+def _train(batches, per_class=(1.0, 1.0)):
     import numpy as np
     import pyarrow as pa
 
@@ -134,7 +142,7 @@ def _train(batches):
         texts.append(batch.column(0).cast(pa.large_string()))
         labels += batch.column(1).to_pylist()
     column = pa.concat_arrays(texts) if texts else pa.array([], pa.large_string())
-    chosen, weights, bias = fit(column, labels)
+    chosen, weights, bias = fit(column, labels, per_class)
     to = io.BytesIO()
     np.savez(to, chosen=chosen, weights=weights, bias=bias)
     yield pa.RecordBatch.from_arrays([pa.array([to.getvalue()], pa.binary())], ["model"])
@@ -144,16 +152,19 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
     """The model of the documents that have a label, as bytes.
 
     Of each class at most rows_per_class labels are used, those whose id hashes lowest, so that the sample of ids is
-    bounded: it is broadcast to find its texts, which one task then fits. Null labels are left out; a null text is an
+    bounded: it is broadcast to find its texts, which one task then fits. All labels are counted, and where a class has
+    more, its texts weigh as much more, so that the model learns the classes' true shares at every size. Null labels are left out; a null text is an
     empty one; without rows of both classes the model gives every text the prior. The model holds at most FEATURES
     weights, whatever the input.
     """
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("__id"), (F.col(label_col) > 0).cast("int").alias("label"), F.xxhash64(F.lit("sample"), id_col).alias("h"))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    per_class = tuple(max(1.0, counts.get(c, 0) / max(rows_per_class, 1)) for c in (0, 1))
     some = [known.where(F.col("label") == c).orderBy("h", "__id").limit(rows_per_class) for c in (0, 1)]
     sample = F.broadcast(some[0].union(some[1]))
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(sample, "__id")
     rows = texts.select("text", "label", "h").repartition(1).sortWithinPartitions("h", "text").select("text", "label")
-    model = map_batches(rows, _train, "model binary").first()
+    model = map_batches(rows, functools.partial(_train, per_class=per_class), "model binary").first()
     return bytes(model["model"]) if model else next(_train([])).column(0)[0].as_py()
 
 
