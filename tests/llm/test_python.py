@@ -190,6 +190,22 @@ def test_shots_and_damage():
 # --- html ---
 
 
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<script>for(i=0;i<n;i++){} // don't</script>", "<script>var s='<!--';</script>", "<style>a:after{content:'<b \"'}</STYLE >", "<textarea><p it's></textarea\n>", "<script>x='</scripts>'</script>",
+        '<datalist><option value="x"></datalist>', '<datalist><option>x<option>y</datalist>', '<svg><path d="</svg>', "<datalist>", "<select><option>x</select>",
+    ],
+)
+def test_raw_elements_end_at_their_own_end_tag(start):
+    page = H.parse(f"{start}<article><p>Main text</p></article>")
+    assert [t for _, _, t in page.segments] == ["Main text"]
+
+
+def test_an_option_has_an_implied_end():
+    assert [t for _, _, t in H.parse("<option>a<option>b<p>Main text</p>").segments] == ["a", "b", "Main text"]
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(3)
     page = H.parse("<div><p>a</p><p>b<i>c</i></p></div><ul><li>d<li>e</ul>")

@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from tideline.llm._shared import map_batches
 
 # Elements by what HTML says of them.
-RAW = frozenset("script style noscript template iframe object svg math canvas textarea select option title head".split())
+RAW = frozenset("script style noscript template iframe object svg math canvas textarea select datalist title head".split())
+#: Raw elements whose content is markup: without an end tag only the start tag is left out, not the rest of the page.
+MARKUP = frozenset("template object svg math canvas select datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img picture".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -23,6 +25,8 @@ ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+#: Ends of raw elements: nothing before them is markup, whatever it looks like.
+RAW_END = {tag: re.compile(rf"</{tag}(?:[\s/][^>]*)?(?:>|\Z)", re.I | re.A) for tag in RAW}
 NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 #: The kinds of elements and of names that are features, each by its words.
@@ -78,7 +82,6 @@ def parse(source: str) -> Page:
     page = Page()
     stack = [("#root", page.add(-1, "html", ""))]
     block = links = at = 0
-    raw = ""
 
     def text(to: int) -> None:
         part = source[at:to]
@@ -98,12 +101,8 @@ def parse(source: str) -> Page:
             block += tag not in INLINE
         del stack[to:]
 
-    for m in TAG.finditer(source):
+    while m := TAG.search(source, at):
         tag = (m[2] or "").lower()
-        if raw:
-            if m[1] and tag == raw:
-                raw, at = "", m.end()
-            continue
         text(m.start())
         at = m.end()
         if not tag:
@@ -119,7 +118,8 @@ def parse(source: str) -> Page:
         if tag in RAW:
             block += tag not in INLINE
             if not m[3].endswith("/") and tag != "head":
-                raw = tag
+                end = RAW_END[tag].search(source, at)
+                at = end.end() if end else at if tag in MARKUP else len(source)
             continue
         if tag in VOID:
             if tag == "br" and page.segments and page.segments[-1][0] == block:
@@ -140,8 +140,7 @@ def parse(source: str) -> Page:
             block += tag not in INLINE
             stack.append((tag, page.add(stack[-1][1], tag, m[3])))
         links += tag == "a"
-    if not raw:
-        text(len(source))
+    text(len(source))
     return page
 
 
