@@ -52,3 +52,15 @@ def test_query_equals_its_sql(spark, name):
     names = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(names)
     assert got == rows_of(names, cursor.fetchall())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_offset_order_all_ranks_every_event_and_no_task_gets_the_table(spark):
+    from tideline.queries import table
+
+    df = entry.queries()["offset_order_all"](spark, SF)
+    n = table(spark, SF, "events").count()
+    assert n > 500 and sorted(r["rank"] for r in df.collect()) == list(range(1, n + 1))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    alone = [x for x in plan.splitlines() if "Window " in x and "row_number()" in x]
+    assert alone and all("__bucket" in x.split("row_number()")[1] for x in alone)

@@ -399,6 +399,15 @@ def offset_order(spark, sf_dir):
     return e.select("event_id", F.row_number().over(Window.orderBy(O.order_key(file, i * 31 % 50, i % 4, i * 7 % 3), "event_id")).cast("long").alias("rank"))
 
 
+@query(f"SELECT event_id, row_number() OVER (ORDER BY lower(file), pos, event, \"row\", event_id) AS rank FROM ({OFFSET_SQL})")
+def offset_order_all(spark, sf_dir):
+    """Every event's rank. Buckets are whole offsets with ranges of ids, so no task ranks more than a few thousand rows of one offset."""
+    i = F.col("event_id")
+    file = F.when(i % 3 == 0, "bin.000002").when(i % 3 == 1, "BIN.000002").otherwise("bin.000010")
+    e = table(spark, sf_dir, "events").select("event_id", O.order_key(file, i * 31 % 50, i % 4, i * 7 % 3).alias("offset"))
+    return L.with_positions(e, "offset", "event_id", bucket=F.struct("offset", F.floor(i / 2**20).alias("ids"))).select("event_id", F.col("pos").cast("long").alias("rank"))
+
+
 @query("SELECT event_id FROM (SELECT event_id, event_id // 20 AS pos, event_id % 20 // 4 + 1 AS event, event_id % 4 AS \"row\" FROM events) WHERE pos > 10 OR (pos = 10 AND (event > 3 OR (event = 3 AND \"row\" >= 1)))")
 def skip_events_rows(spark, sf_dir):
     e, i = table(spark, sf_dir, "events"), F.col("event_id")
