@@ -164,3 +164,15 @@ def test_writes_between_the_phases_of_a_chunk_are_not_lost(spark):
         chunk = M.upsert_chunk(snapshot, during, ["pk"], F.lit(True))
         final = M.latest_state(chunk.unionByName(log.where(F.col("pos") > control["high_wm"])), ["pk"])
         assert got(final) == state(rows), phase
+
+
+def test_jdbc_catalog_loads_every_view():
+    from unittest.mock import MagicMock
+
+    from tideline.sources.catalog import jdbc_catalog
+
+    spark = MagicMock()
+    options = spark.read.format.return_value.options
+    out = jdbc_catalog(spark, "jdbc:x", "it's", user="u")
+    assert len(out) == 6 and all(v is options.return_value.load.return_value for v in out.values())
+    assert any("TABLE_SCHEMA = 'it''s'" in c.kwargs["query"] for c in options.call_args_list)

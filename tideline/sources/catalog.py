@@ -48,13 +48,13 @@ def captured(columns: DataFrame, include: str | None, exclude: str | None = None
 
 
 def jdbc_catalog(spark: SparkSession, url: str, database: str, **options: str) -> dict[str, DataFrame]:
-    """The catalog's views of a server, lazily, by JDBC: schemata, tables, columns, key usage, statistics and collations."""
+    """The catalog's views of a server, by JDBC; only schemas are asked for until they are read: schemata, tables, columns, key usage, statistics and collations."""
     views = {"schemata": "SCHEMATA", "tables": "TABLES", "columns": "COLUMNS", "usage": "KEY_COLUMN_USAGE", "statistics": "STATISTICS", "collations": "COLLATIONS"}
     safe = database.replace("'", "''")
     out = {}
     for name, view in views.items():
         where = {"schemata": f" WHERE SCHEMA_NAME = '{safe}'", "collations": ""}.get(name, f" WHERE TABLE_SCHEMA = '{safe}'")
-        out[name] = spark.read.format("jdbc").options(url=url, query=f"SELECT * FROM INFORMATION_SCHEMA.{view}{where}", **options)
+        out[name] = spark.read.format("jdbc").options(url=url, query=f"SELECT * FROM INFORMATION_SCHEMA.{view}{where}", **options).load()
     return out
 
 
