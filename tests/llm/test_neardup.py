@@ -3,8 +3,11 @@
 import random
 import re
 
+import pytest
+
+from tideline.llm import components as C
 from tideline.llm import neardup
-from tideline.llm.components import components
+from tideline.llm._shared import Scratch
 from tideline.llm.neardup import drop_near_duplicates, near_duplicate_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,9 +82,26 @@ def test_edge_cases(spark):
     assert sorted(map(str, drop_near_duplicates(df).collect())) == sorted(["Row(doc_id=1, text='a b', kept='k')", "Row(doc_id=None, text=None, kept='k')"])
 
 
-def test_components_of_a_long_chain(spark):
+def test_rows_that_share_an_id_follow_their_own_groups(spark):
+    rows = [(5, "a b c d e f"), (7, "A b c d e f"), (5, "p q r s t u"), (2, "p q r s t u"), (2, "p q r s t u")]
+    df = spark.createDataFrame([(*r, i, "x") for i, r in enumerate(rows)], "doc_id long, text string, n long, id string").repartition(2)
+    assert sorted((r.doc_id, r.text, r.n) for r in drop_near_duplicates(df).collect()) == [(2, "p q r s t u", 3), (2, "p q r s t u", 4), (5, "a b c d e f", 0)]
+    assert drop_near_duplicates(df).columns == df.columns
+
+
+@pytest.mark.parametrize("most", [1_000, 0])
+def test_components_of_a_long_chain(spark, monkeypatch, most):
+    monkeypatch.setattr(C, "ONE_TASK", most)
     order = list(range(200))
     random.Random(1).shuffle(order)
     edges = list(zip(order, order[1:], strict=False)) + [(1000, 1001), (1001, 1002), (1002, 1000)]
-    got = {r.id: r.root for r in components(spark.createDataFrame(edges, "u long, v long").repartition(4)).collect()}
+    with Scratch(spark) as scratch:
+        got = {r.id: r.root for r in C.components(spark.createDataFrame(edges, "u long, v long").repartition(4), scratch).collect()}
+        assert C.components(spark.createDataFrame([], "u long, v long"), scratch).count() == 0
     assert got == {i: 0 for i in range(1, 200)} | {1001: 1000, 1002: 1000}
+
+
+def test_many_edges_take_rounds(spark, monkeypatch):
+    monkeypatch.setattr(C, "ONE_TASK", 5)
+    rows = corpus(random.Random(5), 150)
+    assert groups(spark, rows) == brute(rows)

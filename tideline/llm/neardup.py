@@ -7,19 +7,16 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm._shared import cut, map_batches
+from tideline.llm._native import ROW, with_row_key
+from tideline.llm._shared import Scratch, map_batches
 from tideline.llm.components import components
 
 #: 32 bands of 4 ranks: a pair at similarity 0.75 shares no band with a probability below 6 in a million.
 BANDS, ROWS = 32, 4
 #: A link: 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
-#: Members of a bucket that one task compares with as many others at once.
+#: Members of a bucket that one task compares with as many others, or with their centre, at once.
 BLOCK = 512
-#: Bytes of a shingle's hash in the table of sets.
-HASH_BYTES = 6
-
-
 
 
 def _digest(s) -> tuple[int, int]:
@@ -28,7 +25,7 @@ def _digest(s) -> tuple[int, int]:
 
 
 def _sketch(bands: int, rows: int):
-    """Batches of (id, text) to (id, size, digest in two halves, band keys) of their sets."""
+    """Batches whose last column is a text: instead of it the size of its set, the digest in two halves, the band keys."""
 
     def sketch(batches):
         import pyarrow as pa
@@ -38,40 +35,40 @@ def _sketch(bands: int, rows: int):
         for batch in batches:
             sizes, digests = [], []
 
-            def sets(column=batch.column(1), sizes=sizes, digests=digests):
+            def sets(column=batch.columns[-1], sizes=sizes, digests=digests):
                 for s in shingle_sets(column):
                     sizes.append(len(s))
                     digests.append(_digest(s))
                     yield s
 
             keys = list(bands_of(sets(), bands, rows))
-            columns = [batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array([a for a, _ in digests], pa.int64()), pa.array([b for _, b in digests], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "a", "b", "bands"])
+            columns = [pa.array(sizes, pa.int64()), pa.array([a for a, _ in digests], pa.int64()), pa.array([b for _, b in digests], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], "n", "a", "b", "bands"])
 
     return sketch
 
 
 def _whole_sets(batches):
-    """Batches of texts to (first half of the digest, packed set)."""
+    """Batches of (node, a, b, text) to (node, set), once a task for each node, where the text's set has that digest."""
     import pyarrow as pa
 
     from tideline.llm._shingles import shingle_sets
 
+    seen = set()
     for batch in batches:
-        keys, sets = [], []
-        for s in shingle_sets(batch.column(0)):
-            keys.append(_digest(s)[0])
-            sets.append(s.astype("<u8").view("u1").reshape(-1, 8)[:, 8 - HASH_BYTES :].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["a", "s"])
+        nodes, sets = [], []
+        for node, a, b, s in zip(*(c.to_pylist() for c in batch.columns[:3]), shingle_sets(batch.columns[3]), strict=True):
+            if node not in seen and _digest(s) == (a, b):
+                seen.add(node)
+                nodes.append(node)
+                sets.append(s.astype("<u8").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "s"])
 
 
 def _unpack(s: bytes):
-    """A packed set as a sorted array: the leading bytes of sorted hashes are sorted."""
     import numpy as np
 
-    out = np.zeros((len(s) // HASH_BYTES, 8), dtype="u1")
-    out[:, :HASH_BYTES] = np.frombuffer(s, "u1").reshape(-1, HASH_BYTES)
-    return out.view("<u8").ravel()
+    return np.frombuffer(s, "<u8")
 
 
 def _similar(x, y, threshold: int) -> bool:
@@ -85,21 +82,21 @@ def _similar(x, y, threshold: int) -> bool:
 
 
 def _verify(threshold: int):
-    """Batches of (u, v, u's set, v's set) to those (u, v) that are similar; rows of one u stand together."""
+    """Batches of (u, part, v, set), rows of a part of u together and that of u itself first: the (u, v) that are similar."""
 
     def verify(batches):
         import pyarrow as pa
 
         center, center_set = None, None
         for batch in batches:
-            u, v = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep = []
-            for i in range(len(u)):
-                if u[i] != center:
-                    center, center_set = u[i], _unpack(batch.column(2)[i].as_py())
-                if _similar(center_set, _unpack(batch.column(3)[i].as_py()), threshold):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([u[i] for i in keep], pa.int64()), pa.array([v[i] for i in keep], pa.int64())], ["u", "v"])
+            us, vs = [], []
+            for u, v, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                if u == v:
+                    center, center_set = u, _unpack(s.as_py())
+                elif u == center and _similar(center_set, _unpack(s.as_py()), threshold):
+                    us.append(u)
+                    vs.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
     return verify
 
@@ -124,9 +121,9 @@ def _common(left: list, right: list):
 
 
 def _cross(threshold: int):
-    """Of blocks of (bucket, i, j, side, a, root, set), rows of a block together: links that join roots not joined yet.
+    """Of blocks of (band, i, j, side, node, root, set), rows of a block together: links that join roots not joined yet.
 
-    Side 1 is compared with side 2, and with itself where there is no side 2 but rows of both kinds are marked 3.
+    Rows of side 1 are compared with those of side 2; side 3 is on both.
     """
 
     def links(rows: list[tuple]) -> list[tuple[int, int]]:
@@ -174,71 +171,104 @@ def _cross(threshold: int):
     return cross
 
 
+def _mixed_links(members: DataFrame, roots: DataFrame, whole: DataFrame, threshold: int, scratch: Scratch) -> DataFrame | None:
+    """Links within buckets whose nodes are in several components: of the nodes outside the largest with all others."""
+    placed = scratch.write(members.select("band", "node").distinct().join(roots.withColumnRenamed("id", "node"), "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("band").agg(F.max(F.struct("size", "root")).alias("major"), F.count("*").alias("n"), F.sum("size").alias("k")).where("n > 1")
+    mixed = scratch.write(mixed.select("band", F.col("major.root").alias("major"), "k", (F.col("k") - F.col("major.size")).alias("out")))
+    if not mixed.limit(1).count():
+        return None
+    open_ = scratch.write(placed.join(mixed, "band"))
+    same = open_.groupBy("band", "k").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"))
+    once = scratch.write(same.groupBy("k", "h").agg(F.min("band").alias("band")).select("band"))
+    rows = open_.join(once, "band").select("*", F.ceil(F.col("out") / BLOCK).cast("int").alias("bi"), F.ceil(F.col("k") / BLOCK).cast("int").alias("bj"))
+    outside, one, h = F.col("root") != F.col("major"), F.col("bj") == 1, F.xxhash64("node")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = rows.where(outside & ~one).select("band", F.pmod(h, "bi").cast("int").alias("i"), every("bj").alias("j"), F.lit(1).alias("side"), "node", "root")
+    right = rows.where(~one).select("band", every("bi").alias("i"), F.pmod(h, "bj").cast("int").alias("j"), F.lit(2).alias("side"), "node", "root")
+    small = rows.where(one).select("band", F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(outside, 3).otherwise(2).alias("side"), "node", "root")
+    blocks = left.union(right).union(small).join(whole, "node").select("band", "i", "j", "side", "node", "root", "s")
+    blocks = blocks.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "node")
+    return scratch.write(map_batches(blocks, _cross(threshold), "u long, v long"))
+
+
+def _groups(docs: DataFrame, extra: list[str], text_col: str, id_col: str, bands: int, rows: int, threshold: int) -> DataFrame:
+    """(extra columns, id, n, component, kept), written to the shared folder."""
+    texts = docs.select(*extra, F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    kinds = ", ".join(f"{c} {dict(texts.dtypes)[c]}" for c in extra)
+    with Scratch(docs.sparkSession) as scratch:
+        sketched = scratch.write(map_batches(texts, _sketch(bands, rows), f"{kinds}{', ' * bool(extra)}id long, n long, a long, b long, bands array<long>"))
+        sets = sketched.where("n > 0 AND id IS NOT NULL")
+        nodes = sets.groupBy("a", "b").agg(F.min("id").alias("id")).orderBy("id", "a", "b")
+        nodes = scratch.write(nodes.withColumn("node", F.monotonically_increasing_id()))
+        banded = scratch.write(sets.join(nodes, ["a", "b", "id"]).select("node", "bands"))
+        each = banded.select("node", F.explode("bands").alias("band"))
+        buckets = scratch.write(each.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center <> last").drop("last"))
+        members = scratch.write(each.join(buckets, "band"))
+        scratch.drop(banded, buckets)
+
+        pairs = scratch.write(members.where("node <> center").select(F.col("center").alias("u"), F.col("node").alias("v")).distinct())
+        wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes, "node")
+        whole = texts.select("id", "text").join(wanted, "id").select("node", "a", "b", "text")
+        whole = scratch.write(map_batches(whole, _whole_sets, "node long, s binary"))
+        many = scratch.write(pairs.groupBy("u").agg(F.count("*").alias("k")).where(F.col("k") > BLOCK))
+        part = F.when(F.col("k").isNull(), 0).otherwise(F.pmod(F.xxhash64("v"), F.ceil(F.col("k") / BLOCK))).cast("int")
+        parts = pairs.join(many, "u", "left").select("u", part.alias("part"), "v")
+        rows_ = parts.union(parts.select("u", "part", F.col("u").alias("v")).distinct()).join(whole.withColumnRenamed("node", "v"), "v").select("u", "part", "v", "s")
+        rows_ = rows_.repartition("u", "part").sortWithinPartitions("u", "part", F.col("u") != F.col("v"))
+        links = scratch.write(map_batches(rows_, _verify(threshold), "u long, v long"))
+        roots = components(links, scratch)
+        more = _mixed_links(members, roots, whole, threshold, scratch)
+        if more is not None and more.limit(1).count():
+            roots = components(links.union(more), scratch)
+
+        named = roots.join(nodes.select(F.col("node").alias("root"), F.col("id").alias("component")), "root").select(F.col("id").alias("node"), "component")
+        placed = nodes.join(named, "node", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
+        found = sketched.select(*extra, "id", "n", "a", "b").join(placed, ["a", "b"], "left")
+        component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
+        return scratch.keep(found.select(*extra, "id", "n", component.alias("component"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))
+
+
 def near_duplicate_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bands: int = BANDS, rows: int = ROWS, threshold: int = THRESHOLD) -> DataFrame:
     """Returns (id_col, n_shingles, component_id, kept) for each row of the documents.
 
     Two documents are linked where their sets of distinct five-word shingles have 100 * intersection >= threshold *
     union; component_id is the smallest id that links lead to; kept marks the document that has it.
 
-    1. One pass gives each document its set's size and digest and the keys of its bands. Documents with equal sets
-       are one node, named by the digest, from here on.
-    2. Nodes that share a band are a bucket; of buckets with the same nodes one is left. The sets of nodes in buckets
-       are made once more, as the only other use of the texts, and kept.
-    3. In each bucket all nodes are paired with the first and verified on their full sets; the links give components.
+    1. One pass gives each document its set's size and 128-bit digest and the keys of its bands. Documents with equal
+       sets are one node from here on; nodes are numbered in the order of their smallest ids.
+    2. Nodes that share a band are a bucket, whose smallest node is its centre. The sets of nodes in buckets are made
+       once more, as the only other use of the texts.
+    3. The nodes of each bucket are verified against its centre on their full sets, by parts of BLOCK, so that the
+       centre's set goes to each part once and a large bucket is many tasks; the links give components.
     4. In buckets whose nodes are still in several components, the nodes outside the largest are compared with all
-       others, block by block, so that a large bucket is many tasks. Only links that join components leave a task.
-       So every pair that shares a band is linked, or in one component already, or not similar.
+       others, block by block; of buckets with the same nodes one is taken. Only links that join components leave a
+       task. So every pair that shares a band is linked, or in one component already, or not similar.
 
     A null, empty or blank text has an empty set and is linked with nothing. A row with a null id is linked with
     nothing, its component_id is null and it is kept. Repeated rows share a set, a component and kept. Ids are
-    integers; rows that share an id but not a text are nodes of their own. Empty tables stay empty. Other input
-    columns take no part.
+    integers; rows that share an id but not a text are nodes of their own. A very long text is one set, which must fit
+    in a task. Empty tables stay empty. Other input columns take no part, whatever their names.
 
-    Nothing but counts reaches the driver. Step 4 compares pairs, in memory, where nodes share a band without being
-    similar to the bucket's first: its work, though not its output, grows with their number times the bucket's.
+    Nothing but counts reaches the driver. Tables are written to the shared folder as the work goes on. Step 4 compares
+    pairs, in memory, where nodes share a band without being similar to the bucket's first: its work, though not its
+    output, grows with their number times the bucket's.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketched = cut(map_batches(texts, _sketch(bands, rows), "id long, n long, a long, b long, bands array<long>"))
-    sets = sketched.where("n > 0 AND id IS NOT NULL")
-    first = cut(sets.groupBy("a").agg(F.min("id").alias("id")))
-    banded = sets.select("a", F.explode("bands").alias("band"))
-    buckets = cut(banded.groupBy("band").agg(F.min("a").alias("center"), F.max("a").alias("last")).where("center <> last").drop("last"))
-    members = cut(banded.join(buckets, "band").distinct())
-    same = members.groupBy("band").agg(F.count("*").alias("k"), F.sum(F.xxhash64("a").cast("decimal(38,0)")).alias("h"))
-    members = cut(members.join(same.groupBy("k", "h").agg(F.min("band").alias("band")).drop("h"), "band"))
-    wanted = members.select("a").distinct().join(first, "a").select("id")
-    whole = cut(map_batches(texts.join(wanted, "id", "left_semi").select("text"), _whole_sets, "a long, s binary"))
-
-    pairs = members.where("a <> center").select(F.col("center").alias("u"), F.col("a").alias("v")).distinct()
-    both = cut(pairs).join(whole.select(F.col("a").alias("v"), F.col("s").alias("vs")), "v").join(whole.select(F.col("a").alias("u"), F.col("s").alias("us")), "u")
-    links = cut(map_batches(both.select("u", "v", "us", "vs"), _verify(threshold), "u long, v long"))
-    roots = components(links)
-
-    placed = cut(members.join(roots.withColumnRenamed("id", "a"), "a", "left").select("band", "a", "k", F.coalesce("root", "a").alias("root")))
-    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("size"))
-    mixed = cut(sizes.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("major"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    open_ = placed.join(mixed, "band").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-    mine, every = F.pmod(F.xxhash64("a"), "blocks").cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
-    outside, one = F.col("root") != F.col("major"), F.col("blocks") == 1
-    left = open_.where(outside & ~one).select("band", mine.alias("i"), F.explode(every).alias("j"), F.lit(1).alias("side"), "a", "root")
-    right = open_.where(~one).select("band", F.explode(every).alias("i"), mine.alias("j"), F.lit(2).alias("side"), "a", "root")
-    whole_bucket = open_.where(one).select("band", F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(outside, 3).otherwise(2).alias("side"), "a", "root")
-    blocks = left.union(right).union(whole_bucket).join(whole, "a").select("band", "i", "j", "side", "a", "root", "s")
-    blocks = blocks.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "a")
-    more = cut(map_batches(blocks, _cross(threshold), "u long, v long"))
-    if more.limit(1).count():
-        roots = components(links.union(more))
-
-    labelled = first.join(roots.withColumnRenamed("id", "a"), "a", "left").select("a", "id", F.coalesce("root", "a").alias("root"))
-    least = cut(labelled.groupBy("root").agg(F.min("id").alias("component")))
-    grouped = cut(labelled.join(least, "root").select("a", "component"))
-    found = sketched.select("id", "n", "a").join(grouped, "a", "left")
-    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")))
-    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
-
-
-def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that near_duplicate_groups() keeps, with their columns; every row of a kept id stays."""
-    groups = near_duplicate_groups(docs, text_col, id_col, **options)
-    gone = groups.where("NOT kept").select(F.col(id_col).alias("__gone"))
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    out = _groups(docs, [], text_col, id_col, bands, rows, threshold)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bands: int = BANDS, rows: int = ROWS, threshold: int = THRESHOLD) -> DataFrame:
+    """The documents that near_duplicate_groups() keeps, with all their columns.
+
+    Rows are told apart by id and text, so that of rows that share an id but not a text each follows its own group.
+    Rows equal in both are one document, and stay or go together. Nulls, empty and very long texts and empty tables
+    are as in near_duplicate_groups().
+    """
+    keyed = with_row_key(docs, id_col, text_col)
+    gone = _groups(keyed, ROW, text_col, id_col, bands, rows, threshold).where("NOT kept").select(*ROW)
+    return keyed.join(gone, ROW, "left_anti").select(*(f"`{c}`" for c in docs.columns))
