@@ -44,18 +44,22 @@ def test_region_feed(spark, tmp_path):
     write("r1", row("PREWRITE", 1), row("COMMIT", 1, 5), row("PREWRITE", 9, table=2), {"kind": "RESOLVED", "resolved_ts": 20}, row("NOISE", 3))
     write("r2", row("PREWRITE", 2), row("COMMIT", 2, 12), {"kind": "RESOLVED", "resolved_ts": 10})
     feed = spark.read.format("kvfeed").option("tables", "1").load(str(tmp_path))
-    rows = feed.collect()
-    assert {r.resolved for r in rows} == {10} and {r.region for r in rows} == {"r1", "r2"} and {r.table_id for r in rows} == {1}
-    assert [r.handle for r in P.committed(feed.drop("region", "resolved"), rows[0].resolved).collect()] == [1]
-    q = spark.readStream.format("kvfeed").load(str(tmp_path)).writeStream.format("parquet").option("path", str(tmp_path / "_out")).option("checkpointLocation", str(tmp_path / "_cp")).trigger(availableNow=True)
+    rows = feed.where("log_type <> 'RESOLVED'").collect()
+    resolved = P.resolved_over(feed).first()[0]
+    assert resolved == 10 and {r.region for r in rows} == {"r1", "r2"} and {r.table_id for r in rows} == {1}
+    assert [r.handle for r in P.committed(feed.drop("region", "resolved_ts"), resolved).collect()] == [1]
+    q = spark.readStream.format("kvfeed").load(str(tmp_path)).where("log_type <> 'RESOLVED'").writeStream.format("parquet").option("path", str(tmp_path / "_out")).option("checkpointLocation", str(tmp_path / "_cp")).trigger(availableNow=True)
     q.start().awaitTermination()
     write("r2", row("PREWRITE", 4), {"kind": "RESOLVED", "resolved_ts": 30})
     q.start().awaitTermination()
     assert sorted(r.handle for r in spark.read.parquet(str(tmp_path / "_out")).collect()) == [1, 1, 2, 2, 4, 9]
-    write("r1", {"kind": "ERROR", "message": "epoch changed"})
+    assert sorted(r.handle for r in spark.read.format("kvfeed").option("ranges", "2-3,9-9").load(str(tmp_path)).where("handle IS NOT NULL").collect()) == [2, 2, 9]
+    write("r1", {"kind": "ERROR", "message": "epoch changed", "resolved_ts": 20}, row("PREWRITE", 5))
     with pytest.raises(Exception, match="epoch changed"):
-        spark.read.format("kvfeed").load(str(tmp_path)).count()
-    assert spark.read.format("kvfeed").option("errors", "skip").load(str(tmp_path)).count() == 6
+        spark.read.format("kvfeed").option("errors", "fail").load(str(tmp_path)).count()
+    again = spark.read.format("kvfeed").load(str(tmp_path))
+    assert again.where("log_type = 'ERROR' AND resolved_ts = 20").count() == 1 and again.where("handle = 5").count() == 1
+    assert spark.read.format("kvfeed").option("errors", "skip").load(str(tmp_path)).where("log_type = 'ERROR'").count() == 0
 
 
 def test_unknown_tables(spark):

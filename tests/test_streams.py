@@ -1,5 +1,6 @@
 """The log source in batch and stream, the sink, stateful two-phase commits: streams must equal batches, restarts too."""
 
+import itertools
 import json
 
 import pytest
@@ -9,6 +10,7 @@ from tideline.operators import twophase as P
 from tideline.options import OptionError, SinkOptions
 from tideline.plans.offsets import LogPurged
 from tideline.sources import catalog as C
+from tideline.sources import folders as F_
 from tideline.sources import jsonlog as J
 from tideline.streaming import state as X
 
@@ -37,6 +39,11 @@ def values(df):
     return [json.loads(r.after)["v"] if r.after else -1 for r in df.orderBy("file", "pos").collect() if r.kind == "data"]
 
 
+def at(folder, file, lines):
+    """The position behind so many lines of a file."""
+    return sum(len(x) + 1 for x in (folder / file).read_bytes().split(b"\n")[:lines])
+
+
 def test_batches_and_startup(spark, log):
     folder, _ = log
     J.register(spark)
@@ -44,29 +51,106 @@ def test_batches_and_startup(spark, log):
     def read(**options):
         return values(spark.read.format("jsonlog").options(**options).load(str(folder)))
 
+    specific = {"scan.startup.mode": "specific-offset", "scan.startup.specific-offset.file": "l.000002.jsonl"}
     assert read() == [*range(1, 14), -1, -1, 15]
     assert read(**{"scan.startup.mode": "latest-offset"}) == []
-    assert read(**{"scan.startup.mode": "specific-offset", "scan.startup.specific-offset.file": "l.000002.jsonl", "scan.startup.specific-offset.pos": "3"}) == [11, 12, 13, -1, -1, 15]
-    assert read(**{"scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": "8500"})[0] == 8
-    assert read(**{"scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": "1"})[0] == 1
-    assert read(**{"end-file": "l.000002.jsonl", "end-pos": "2"}) == list(range(1, 10))
+    assert read(**specific, **{"scan.startup.specific-offset.pos": str(at(folder, "l.000002.jsonl", 3))}) == [11, 12, 13, -1, -1, 15]
+    assert read(**{"end-file": "l.000002.jsonl", "end-pos": str(at(folder, "l.000002.jsonl", 2))}) == list(range(1, 10))
     rows = spark.read.format("jsonlog").load(str(folder))
     assert rows.where("op = 'd' AND table_id = 'd.t'").count() == 2
     assert rows.where("kind = 'schema'").first().ddl.startswith("ALTER")
+    assert rows.where("file = 'l.000002.jsonl'").orderBy("pos").first().pos == at(folder, "l.000002.jsonl", 1)
     with pytest.raises(LogPurged):
         J.JsonLogSource({"path": str(folder), "scan.startup.mode": "specific-offset", "scan.startup.specific-offset.file": "l.0", "scan.startup.specific-offset.pos": "0"}).start()
 
 
+def test_start_by_timestamp_is_exact_to_the_second(spark, log):
+    folder, _ = log
+    J.register(spark)
+    for millis, first in ((8500, 8), (1, 1), (8000, 8), (10_999, 10), (0, 1)):
+        rows = spark.read.format("jsonlog").options(**{"scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": str(millis)}).load(str(folder))
+        assert values(rows)[0] == first and rows.where("kind = 'schema'").count() == 1
+
+
+def test_start_by_transactions_and_within_one(spark, tmp_path):
+    J.register(spark)
+    lines = [line(i) for i in range(12)]
+    for i, x in enumerate(lines):
+        x["source"] |= {"gtid": f"u:{i // 6 + 1}", "event": i % 6 // 2 + 1, "row": i % 2}
+    (tmp_path / "a.jsonl").write_text("".join(json.dumps(x) + "\n" for x in lines))
+
+    def read(**options):
+        return values(spark.read.format("jsonlog").options(**{f"scan.startup.{k}": v for k, v in options.items()}, **{"scan.startup.mode": "specific-offset"}).load(str(tmp_path)))
+
+    gtids = "specific-offset.gtid-set"
+    assert read(**{gtids: "u:1"}) == list(range(6, 12)) and read(**{gtids: "u:1-2"}) == [] and read(**{gtids: "v:1"}) == list(range(12))
+    place = {"specific-offset.file": "a.jsonl", "specific-offset.pos": "0"}
+    assert read(**place) == list(range(12))
+    assert read(**place, **{"specific-offset.skip-events": "1"}) == list(range(2, 12))
+    assert read(**place, **{"specific-offset.skip-events": "1", "specific-offset.skip-rows": "1"}) == list(range(3, 12))
+    with pytest.raises(LogPurged):
+        J.JsonLogSource({"path": str(tmp_path), "scan.startup.mode": "specific-offset", f"scan.startup.{gtids}": "u:1", "log.purged-gtids": "w:1-5"}).start()
+
+
+def test_a_snapshot_and_then_the_log(spark, log, tmp_path):
+    folder, add = log
+    J.register(spark)
+    spark.createDataFrame([(1, 6), (2, 7), (3, 3), (0, 5), (4, 4)], "pk long, v long").repartition(2).write.parquet(str(tmp_path / "snap"))
+    snapshot = {"snapshot.path": str(tmp_path / "snap"), "snapshot.key": "pk", "snapshot.table": "d.t", "snapshot.file": "l.000001.jsonl", "snapshot.pos": str(at(folder, "l.000001.jsonl", 7))}
+
+    def options(mode):
+        return {"scan.startup.mode": mode} | snapshot
+
+    whole = spark.read.format("jsonlog").options(**options("initial")).load(str(folder)).where("kind = 'data'")
+    assert sorted(json.loads(r.after)["v"] for r in whole.where("op = 'r'").collect()) == [3, 4, 5, 6, 7]
+    assert whole.where("op <> 'r'").count() == 9 and whole.where("op = 'r'").first().table_id == "d.t"
+    assert spark.read.format("jsonlog").options(**options("snapshot")).load(str(folder)).count() == 5
+    for mode, rows in (("snapshot", 5), ("initial", 14)):
+        raw = spark.readStream.format("jsonlog").options(**options(mode)).load(str(folder)).where("kind = 'data'")
+        q = raw.writeStream.format("parquet").option("path", str(tmp_path / mode)).option("checkpointLocation", str(tmp_path / f"cp-{mode}")).trigger(availableNow=True)
+        q.start().awaitTermination()
+        assert spark.read.parquet(str(tmp_path / mode)).count() == rows
+        if mode == "initial":
+            add("l.000004.jsonl", line(16))
+            q.start().awaitTermination()  # goes on with the log, without the snapshot
+            assert spark.read.parquet(str(tmp_path / mode)).count() == rows + 1
+    with pytest.raises(OptionError, match="snapshot.path"):
+        J.JsonLogSource({"path": str(folder), "scan.startup.mode": "initial"}).start()
+
+
+def test_a_table_by_sql(spark, log):
+    folder, _ = log
+    J.register(spark)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW changes USING jsonlog OPTIONS (path '{folder}', `scan.startup.mode` 'earliest-offset')")
+    assert spark.sql("SELECT count(*) FROM changes WHERE op = 'u'").first()[0] == 14
+    spark.catalog.dropTempView("changes")
+
+
+def test_files_are_read_in_pieces(tmp_path):
+    folder = F_.Folder(str(tmp_path))
+    text = [("x" * (i * 37 % 50)).encode() for i in range(200)]
+    (tmp_path / "a.jsonl").write_bytes(b"\n".join(text) + b"\n" + b"open")
+    end = folder.whole("a.jsonl", folder.sizes()["a.jsonl"])
+    for size in (1, 7, 100, 10_000):
+        got = [x for p in F_.pieces({}, {"a.jsonl": end}, size) for _, x in folder.lines(p.file, p.start, p.end)]
+        assert got == text
+    assert [x for p in F_.pieces({"a.jsonl": end}, {"a.jsonl": end}) for x in folder.lines(p.file, p.start, p.end)] == []
+
+
+def sink_to(path, **more):
+    return SinkOptions.read({"sink.data.save.directory": str(path), "primary-key": "pk", "sink.create.schema.allowed": "true", "sink.parallelism": "3"} | more)
+
+
 def test_stream_to_state_with_restart_and_repeated_batch(spark, log, tmp_path):
     folder, add = log
     J.register(spark)
 
     def changes():
         raw = spark.readStream.format("jsonlog").load(str(folder)).where("kind = 'data'")
-        pos = F.regexp_extract("file", r"(\d+)", 1).cast("long") * 1000 + F.col("pos")
+        pos = F.regexp_extract("file", r"(\d+)", 1).cast("long") * 100_000 + F.col("pos")
         return raw.select(F.get_json_object("key", "$.pk").cast("long").alias("pk"), "op", F.get_json_object("after", "$.v").cast("long").alias("v"), pos.alias("pos"))
 
-    sink = X.UpsertSink(SinkOptions.read({"path": str(tmp_path / "state"), "primary-key": "pk"}), ["v"], buckets=3)
+    sink = X.UpsertSink(sink_to(tmp_path / "state"), ["v"])
     X.upsert_stream(changes(), sink, str(tmp_path / "cp")).awaitTermination()
 
     def now():
@@ -78,28 +162,83 @@ def test_stream_to_state_with_restart_and_repeated_batch(spark, log, tmp_path):
     X.upsert_stream(changes(), sink, str(tmp_path / "cp")).awaitTermination()
     once = now()
     assert once[1] == 16 and once[4] == 99 and 0 not in once
-    batch = spark.createDataFrame([(1, "u", 16, 4001), (0, "d", None, 4002)], "pk long, op string, v long, pos long")
+    batch = spark.createDataFrame([(1, "u", 16, 400_001), (0, "d", None, 400_200)], "pk long, op string, v long, pos long")
     sink(batch, 1)
-    assert now() == once
-    keep = X.UpsertSink(SinkOptions.read({"path": str(tmp_path / "keep"), "primary-key": "pk", "sink.delete.allowed": "false"}), ["v"])
-    keep(batch.withColumn("v", F.lit(5).cast("long")), 0)
-    assert {r.pk for r in keep.read(spark).collect()} == {1}
+    assert now()[1] == 16 and 0 not in now()
+    with pytest.raises(OptionError, match="parallelism"):
+        X.UpsertSink(sink_to(tmp_path / "state", **{"sink.parallelism": "4"}), ["v"])(batch, 2)
+
+
+RECORDS = [(1, "c", 1, 5, "t"), (1, "d", None, 10, "t"), (2, "c", 2, 7, "t"), (2, "u", 3, 9, "u"), (3, "d", None, 4, "t"), (3, "c", 6, 2, "t"), (1, "u", 9, 8, "t")]
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(range(3)))[:6])
+def test_batches_in_any_order_give_the_same_state(spark, tmp_path, order):
+    sink = X.UpsertSink(sink_to(tmp_path / "s"), ["v", "pos"])
+    df = spark.createDataFrame(RECORDS, "pk long, op string, v long, pos long, table_id string").coalesce(1)
+    for n, part in enumerate(order):
+        sink(df.where(F.col("pos") % 3 == part), n)
+        sink(df.where(F.col("pos") % 3 == part), n)
+    assert {tuple(r) for r in sink.read(spark).collect()} == {(2, 3, 9)}
+
+
+def test_sink_options(spark, tmp_path):
+    df = spark.createDataFrame(RECORDS, "pk long, op string, v long, pos long, table_id string").coalesce(1)
+
+    def state(name, low=None, **more):
+        sink = X.UpsertSink(sink_to(tmp_path / name, **more), ["v"], low=low)
+        sink(df, 0)
+        return {r.pk: r.v for r in sink.read(spark).collect()}, sink
+
+    assert state("a", **{"sink.operator.delete.allowed": "false"})[0] == {1: 9, 2: 3, 3: 6}
+    assert state("b", **{"sink.operator.delete.excluded-tables": "x,t"})[0] == {1: 9, 2: 3, 3: 6}
+    assert state("c", **{"sink.operator.delete.excluded-tables": "u"})[0] == {2: 3}
+    got, sink = state("d", low=lambda: 100)
+    assert got == {2: 3} and spark.read.parquet(str(tmp_path / "d" / "batch=0")).count() == 1
+    with pytest.raises(OptionError, match="isn't there"):
+        state("e", **{"sink.create.schema.allowed": "false"})
+    assert sink_to(tmp_path, **{"sink.snapshot.flush.interval.seconds": "7"}).trigger == {"processingTime": "7 seconds"}
+
+
+FEED = "region string, table_id long, handle long, start_ts long, log_type string, commit_ts long, op string, value string, resolved_ts long"
+
+
+def record(h, kind, commit=None, region="a"):
+    return region, 1, h, h, kind, commit, "u" if kind == "PREWRITE" else None, f"v{h}" if kind == "PREWRITE" else None, None
+
+
+def resolved(ts, region="a"):
+    return region, None, None, None, "RESOLVED", None, None, None, ts
+
+
+def test_commits_flush_by_resolved_time_of_other_keys(spark, tmp_path):
+    sink = X.CommitSink(str(tmp_path / "s"), ["op", "value"])
+
+    def step(n, *rows):
+        sink(spark.createDataFrame(rows, FEED), n)
+        return sorted((r.handle, r.commit_ts) for r in sink.read(spark).collect())
+
+    assert step(0, record(1, "PREWRITE"), record(1, "COMMIT", 20), resolved(5)) == []
+    assert step(1, record(2, "PREWRITE"), resolved(100)) == [(1, 20)]
+    assert step(2, record(1, "COMMIT", 20), record(2, "COMMIT", 150), resolved(200, "b")) == [(1, 20)]  # region a is at 100
+    assert step(3, resolved(160)) == [(1, 20), (2, 150)]
+    assert step(3, resolved(160)) == [(1, 20), (2, 150)]  # the same batch again
+    assert step(4, record(300, "ROLLBACK"), record(300, "PREWRITE"), record(9, "COMMIT", 290), resolved(300), resolved(300, "b")) == [(1, 20), (2, 150)]
+    assert [r.handle for r in sink.unmatched(spark).collect()] == [9]
+    assert spark.read.parquet(str(tmp_path / "s/4/open")).count() == 0
 
 
 def test_two_phase_stream_is_the_batch(spark, tmp_path):
-    for k, v in X.ROCKSDB.items():
-        spark.conf.set(k, v)
-    schema = "table_id long, handle long, start_ts long, log_type string, commit_ts long, op string, value string, resolved long"
-    rows = [(1, h, h, "PREWRITE", None, "u", f"v{h}", 0) for h in range(20)] + [(1, h, h, "ROLLBACK", None, None, None, 0) for h in range(0, 20, 7)]
-    rows += [(1, h, h, "COMMIT", h + 3, None, None, 1000) for h in range(0, 25, 2)]
-    for i, part in enumerate((rows[:12], rows[12:])):
-        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
-    q = X.two_phase_stream(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    out = {(r.handle, r.commit_ts, r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    feed = spark.createDataFrame(rows, schema).drop("resolved")
-    assert out == {(r.handle, r.commit_ts, r.value) for r in P.committed(feed, 1000).collect()} != set()
+    rows = [record(h, "PREWRITE") for h in range(20)] + [record(h, "ROLLBACK") for h in range(0, 20, 7)]
+    rows += [record(h, "COMMIT", h + 3) for h in range(0, 25, 2)]
+    sink = X.CommitSink(str(tmp_path / "out"), ["op", "value"])
+    for i, part in enumerate((rows[:12], rows[12:], [resolved(15)])):
+        spark.createDataFrame(part, FEED).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = spark.readStream.schema(FEED).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    X.two_phase_stream(stream, sink, str(tmp_path / "cp")).awaitTermination()
+    out = [(r.handle, r.commit_ts, r.value) for r in sink.read(spark).collect()]
+    feed = spark.createDataFrame(rows, FEED).drop("region", "resolved_ts")
+    assert sorted(out) == sorted((r.handle, r.commit_ts, r.value) for r in P.committed(feed, 15).collect()) != []
 
 
 def test_manifest_checks():

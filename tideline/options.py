@@ -1,4 +1,7 @@
-"""Options of sources, sinks and pipelines, with their defaults and checks."""
+"""Options of sources, sinks and pipelines, with their defaults and checks.
+
+Fixed values: the keys below, and their defaults, are the public names that jobs are configured by.
+"""
 
 from __future__ import annotations
 
@@ -218,26 +221,29 @@ class KeyValueOptions(Options):
 
 @dataclass(frozen=True)
 class SinkOptions(Options):
-    """Of the upserting sink."""
+    """Of the upserting sink. Options of databases (hosts, drivers, pools, loaders) go to `extra`: there is no such sink."""
 
-    path: str | None = key("path", required=True)
+    path: str | None = key("sink.data.save.directory", required=True)
     keys: str | None = key("primary-key", required=True)
-    batch_size: int = key("sink.batch.size", 1000, above=0)
-    flush_interval: float = key("sink.flush.interval", 5.0, kind="duration", above=0)
-    queue_size: int = key("sink.queue.size", 50_000, above=0)
-    delete_allowed: bool = key("sink.delete.allowed", True)
-    delete_excluded: str = key("sink.delete.excluded-tables", "")
-    create_schema: bool = key("sink.create.schema", True)
-    url: str | None = key("url")
-    driver: str | None = key("driver")
-    username: str | None = key("username")
-    password: str | None = key("password")
-    loader_cache: int = key("loader.cache.size", 0, least=0)
+    parallelism: int = key("sink.parallelism", 1, above=0)
+    flush_interval: int = key("sink.snapshot.flush.interval.seconds", 5, above=0)
+    delete_allowed: bool = key("sink.operator.delete.allowed", True)
+    delete_excluded: str = key("sink.operator.delete.excluded-tables", "")
+    create_schema: bool = key("sink.create.schema.allowed", False)
 
     @property
     def key_columns(self) -> list[str]:
         return [k.strip() for k in self.keys.split(",") if k.strip()]
 
+    @property
+    def excluded_tables(self) -> list[str]:
+        return [t.strip() for t in re.split("[,;]", self.delete_excluded) if t.strip()]
+
+    @property
+    def trigger(self) -> dict[str, str]:
+        """Of a stream that flushes by the interval."""
+        return {"processingTime": f"{self.flush_interval} seconds"}
+
 
 @dataclass(frozen=True)
 class PipelineOptions(Options):

@@ -1,44 +1,42 @@
-"""The change feed of a key-value store by regions, as a Python data source: a file for each region, a partition for each file.
+"""The change feed of a key-value store by regions, as a Python data source: files of JSON lines, read by pieces.
 
-Lines are events: ROW (log_type, table_id, handle, start_ts, commit_ts, op, value), RESOLVED (resolved_ts) and ERROR.
-Every row comes with the resolved time of all regions as of its batch: each region's largest, of them the smallest.
+Lines are events: ROW (log_type, table_id, handle, start_ts, commit_ts, op, value), RESOLVED (resolved_ts) and ERROR
+(message, resolved_ts). Each names its region; without a name it is that of its file, up to the first dot. RESOLVED
+events come as rows too, of log_type RESOLVED: what reads the feed takes each region's largest, and of them the
+smallest (operators.twophase.resolved_over, streaming.state.CommitSink).
 """
 
 from __future__ import annotations
 
 import json
-import os
-import re
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader
 
 from tideline.operators.twophase import TYPES
-from tideline.sources.jsonlog import complete_lines
+from tideline.sources.folders import Folder, Piece, batches, pieces
 
-SCHEMA = "region string, table_id bigint, handle bigint, start_ts bigint, log_type string, commit_ts bigint, op string, value string, resolved bigint"
-
-
-class Region(InputPartition):
-    def __init__(self, path: str, region: str, start: int, end: int, resolved: int):
-        super().__init__(region)
-        self.path, self.region, self.start, self.end, self.resolved = path, region, start, end, resolved
+SCHEMA = "region string, table_id bigint, handle bigint, start_ts bigint, log_type string, commit_ts bigint, op string, value string, resolved_ts bigint"
 
 
 class RegionError(RuntimeError):
-    """A region failed; its range is to be read again from its resolved time, which a task's retry does."""
+    """A region failed, and its feed hasn't been taken up again."""
+
 
+def _arrow_schema():
+    import pyarrow as pa
 
-def lines_of(path: str, start: int, end: int):
-    with open(path, encoding="utf-8") as f:
-        for n, line in enumerate(f, 1):
-            if n > end:
-                return
-            if n > start and line.strip():
-                yield json.loads(line)
+    kinds = {"string": pa.string(), "bigint": pa.int64()}
+    return pa.schema([(n, kinds[t]) for n, t in (x.split() for x in SCHEMA.split(", "))])
 
 
 class KvFeed(DataSource):
-    """spark.read or spark.readStream .format("kvfeed").option("path", folder); option tables, a comma list of ids; option errors, fail or skip."""
+    """spark.read or spark.readStream .format("kvfeed").option("path", folder).
+
+    Options: tables, a comma list of ids; ranges, a comma list of handles low-high, ends included, by which rows are
+    kept; file-pattern; errors. A region that fails (ERROR) is read again by its server from the resolved time that
+    the error names: with errors=resume, the default, the feed goes on, and what is delivered once more is told by its
+    times (see CommitSink); with fail the read raises RegionError; with skip errors are passed over without a mark.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -53,31 +51,33 @@ class KvFeed(DataSource):
     def streamReader(self, schema):  # noqa: N802
         return FeedStream(self)
 
-    def regions(self) -> list[str]:
-        return sorted(f for f in os.listdir(self.options["path"]) if re.fullmatch(r"[^._].*\.jsonl", f))
+    @property
+    def folder(self) -> Folder:
+        return Folder(self.options["path"], self.options.get("file-pattern", r"[^._].*\.jsonl"))
 
     def ends(self) -> dict[str, int]:
-        return {f: complete_lines(os.path.join(self.options["path"], f)) for f in self.regions()}
-
-    def resolved(self, ends: dict[str, int]) -> int:
-        """Region files are read for their RESOLVED lines alone; a region without one holds everything back."""
-        least = None
-        for f, end in ends.items():
-            best = max((e["resolved_ts"] for e in lines_of(os.path.join(self.options["path"], f), 0, end) if e["kind"] == "RESOLVED"), default=-1)
-            least = best if least is None else min(least, best)
-        return -1 if least is None else least
-
-    def parts(self, start: dict[str, int], end: dict[str, int]) -> list[Region]:
-        resolved = self.resolved(end)
-        return [Region(os.path.join(self.options["path"], f), f.removesuffix(".jsonl"), start.get(f, 0), n, resolved) for f, n in end.items() if n > start.get(f, 0)]
+        """Of each file the byte behind its last whole line."""
+        folder = self.folder
+        return {f: folder.whole(f, n) for f, n in folder.sizes().items()}
 
-    def rows(self, part: Region):
+    def rows(self, part: Piece):
         tables = {int(t) for t in self.options.get("tables", "").split(",") if t.strip()}
-        for e in lines_of(part.path, part.start, part.end):
-            if e["kind"] == "ERROR" and self.options.get("errors", "fail") == "fail":
-                raise RegionError(f"{part.region}: {e.get('message', 'region error')}")
-            if e["kind"] == "ROW" and e.get("log_type") in TYPES and (not tables or e["table_id"] in tables):
-                yield part.region, e["table_id"], e["handle"], e["start_ts"], e["log_type"], e.get("commit_ts"), e.get("op"), e.get("value"), part.resolved
+        ranges = [tuple(int(x) for x in r.split("-")) for r in self.options.get("ranges", "").split(",") if r.strip()]
+        errors = self.options.get("errors", "resume")
+        for _, line in self.folder.lines(part.file, part.start, part.end):
+            if not line.strip():
+                continue
+            e = json.loads(line)
+            region = str(e.get("region", part.file.partition(".")[0]))
+            if e["kind"] == "ERROR":
+                if errors == "fail":
+                    raise RegionError(f"{region}: {e.get('message', 'region error')}")
+                if errors == "resume":
+                    yield region, None, None, None, "ERROR", None, None, e.get("message"), e.get("resolved_ts")
+            elif e["kind"] == "RESOLVED":
+                yield region, None, None, None, "RESOLVED", None, None, None, e["resolved_ts"]
+            elif e["kind"] == "ROW" and e.get("log_type") in TYPES and (not tables or e["table_id"] in tables) and (not ranges or any(a <= e["handle"] <= b for a, b in ranges)):
+                yield region, e["table_id"], e["handle"], e["start_ts"], e["log_type"], e.get("commit_ts"), e.get("op"), e.get("value"), None
 
 
 class FeedReader(DataSourceReader):
@@ -85,14 +85,14 @@ class FeedReader(DataSourceReader):
         self.source = source
 
     def partitions(self):
-        return self.source.parts({}, self.source.ends())
+        return pieces({}, self.source.ends())
 
     def read(self, partition):
-        yield from self.source.rows(partition) if partition is not None else ()
+        yield from batches(self.source.rows(partition), _arrow_schema()) if partition is not None else ()
 
 
 class FeedStream(DataSourceStreamReader):
-    """An offset is the lines read of each region."""
+    """An offset is the bytes read of each file."""
 
     def __init__(self, source: KvFeed):
         self.source = source
@@ -104,10 +104,10 @@ class FeedStream(DataSourceStreamReader):
         return self.source.ends()
 
     def partitions(self, start, end):
-        return self.source.parts(start, end)
+        return pieces(start, end)
 
     def read(self, partition):
-        return self.source.rows(partition)
+        yield from batches(self.source.rows(partition), _arrow_schema())
 
     def commit(self, end):
         """The feed keeps its files."""
