@@ -55,10 +55,10 @@ def test_query_equals_its_sql(spark, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-def test_offset_order_all_ranks_every_event_and_no_task_gets_the_table(spark):
+def test_offset_order_ranks_every_event_and_no_task_gets_the_table(spark):
     from tideline.queries import table
 
-    df = entry.queries()["offset_order_all"](spark, SF)
+    df = entry.queries()["offset_order"](spark, SF)
     n = table(spark, SF, "events").count()
     assert n > 500 and sorted(r["rank"] for r in df.collect()) == list(range(1, n + 1))
     plan = df._jdf.queryExecution().optimizedPlan().toString()

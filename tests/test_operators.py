@@ -11,6 +11,7 @@ from tideline.operators import handover as H
 from tideline.operators import merge as M
 from tideline.operators import snapshot as S
 from tideline.operators import twophase as P
+from tideline.plans import chunks as K
 
 LOG = "pos long, pk long, op string, v string"
 
@@ -56,12 +57,32 @@ def test_snapshot_and_log_give_the_state_whatever_the_watermarks(spark, seed):
     assert got(M.latest_values(log, ["pk"], ["pos", "v"])) == state(rows)
 
 
-def test_handover_by_range_lookup_is_that_by_broadcast(spark, monkeypatch):
-    log = spark.createDataFrame(history(5), LOG).withColumn("t", F.when(F.col("pk") % 2 == 0, "a").otherwise("b"))
-    chunks = spark.createDataFrame([("a", None, 7, 20), ("a", 7, 13, 90), ("a", 13, None, 150), ("b", None, None, 60)], "t string, lo long, hi long, high_wm long")
-    few = {r.pos for r in H.handover(log, chunks, "pk", table="t").collect()}
-    monkeypatch.setattr(H, "BROADCAST_CHUNKS", 0)
-    assert {r.pos for r in H.handover(log, chunks, "pk", table="t").collect()} == few != set()
+@pytest.mark.parametrize("most", [K.BROADCAST_BYTES, 60])
+def test_chunks_are_looked_up_as_by_a_range_join(spark, most):
+    rng = random.Random(3)
+    for kind, value in (("long", lambda: rng.randint(-50, 50)), ("string", lambda: f"common prefix {rng.randint(0, 60):03d}")):
+        rows = [(i, rng.choice("ab"), rng.choice([None, value(), value()])) for i in range(200)]
+        chunks = []
+        for t in "ab":
+            bounds = sorted({value() for _ in range(rng.choice([0, 1, 9]))})
+            chunks += [(t, n, lo, hi) for n, (lo, hi) in enumerate(zip([None, *bounds], [*bounds, None], strict=True))]
+        log = spark.createDataFrame(rows, f"id long, t string, k {kind}").repartition(3)
+        c = spark.createDataFrame(chunks, f"t string, chunk_no long, lo {kind}, hi {kind}")
+        want = {(i, n) for i, t, k in rows for u, n, lo, hi in chunks if t == u and (lo is None if k is None else (lo is None or k >= lo) and (hi is None or k < hi))}
+        out = K.located(log, c, "k", ["chunk_no"], "t", most)
+        assert out.columns == ["id", "t", "k", "chunk_no"]
+        assert {(r.id, r.chunk_no) for r in out.collect()} == want and len(want) == 200
+        assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    assert K.located(log, c.limit(0), "k", ["chunk_no"], "t", most).count() == 0
+
+
+def test_ranks_of_keys_with_a_common_prefix(spark):
+    keys = [f"Customer#{i:09d}" for i in range(500)]
+    df = spark.createDataFrame([(k,) for k in random.Random(1).sample(keys, 500)], "k string").repartition(4)
+    out = K.dense_rank_by_range(df, "k", rows=40)
+    assert [(r.k, r["rank"], r.total) for r in out.orderBy("k").collect()] == [(k, i, 500) for i, k in enumerate(keys)]
+    assert len(out.inputFiles()) > 5  # a range is a file
+    assert K.dense_rank_by_range(df.limit(0), "k").count() == 0
 
 
 def test_upsert_of_a_chunk_and_keys_that_leave_it(spark):

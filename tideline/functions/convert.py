@@ -198,6 +198,34 @@ def geometry_json(data: Column) -> Column:
     return convert(data)
 
 
+def wkb_struct(data: Column) -> Column:
+    """A stored geometry as a struct of its well-known binary and its srid (null for 0); null for null and for less than a geometry."""
+    srid = F.conv(_reversed_hex(F.substring(data, 1, 4)), 16, 10).cast("int")
+    return F.when(F.octet_length(data) >= 9, F.struct(F.substring(data, 5, 2**31 - 1).alias("wkb"), F.when(srid != 0, srid).alias("srid")))
+
+
+# --- boundaries of chunks, kept in control documents ---
+
+
+def boundary_text(value) -> str | None:
+    """A chunk's boundary as text that keeps its type; None for an open end. boundary_value() gives it back."""
+    kinds = {bool: "bool", int: "int", float: "float", str: "str", Decimal: "decimal", bytes: "bytes", date: "date", datetime: "datetime"}
+    if value is None:
+        return None
+    if type(value) not in kinds:
+        raise TypeError(f"no boundary of type {type(value).__name__}")
+    text = value.hex() if isinstance(value, (bytes, float)) else value.isoformat() if isinstance(value, date) else str(value)
+    return f"{kinds[type(value)]}:{text}"
+
+
+def boundary_value(text: str | None):
+    if text is None:
+        return None
+    kind, _, body = text.partition(":")
+    read = {"bool": lambda x: x == "True", "int": int, "float": float.fromhex, "str": str, "decimal": Decimal, "bytes": bytes.fromhex, "date": date.fromisoformat, "datetime": datetime.fromisoformat}
+    return read[kind](body)
+
+
 # --- defaults of columns, as the catalog gives them ---
 
 

@@ -139,7 +139,20 @@ def row_kinds(env: DataFrame) -> DataFrame:
 
 
 def metadata(env: DataFrame) -> DataFrame:
-    """Adds table_name, database_name, op_ts (the epoch for snapshot rows) and row_kind of the record's new side."""
+    """Adds table_name, database_name, op_ts (the epoch for snapshot rows) and row_kind of the record's new side. For a stream's event time see event_time()."""
     kind = F.when(F.col("op") == "d", "-D").when(F.col("op") == "u", "+U").otherwise("+I")
     at = F.timestamp_millis(F.when(F.col("op") == "r", F.lit(0)).otherwise(F.col("source.ts_ms")))
     return env.select("*", F.col("source.table").alias("table_name"), F.col("source.db").alias("database_name"), at.alias("op_ts"), kind.alias("row_kind"))
+
+
+def event_time(env: DataFrame) -> Column:
+    """The time to put a watermark on: that of the source, null where it has none (0 or less), as for snapshot rows."""
+    at = F.when(F.col("op") != "r", F.col("source.ts_ms"))
+    return F.when(at > 0, F.timestamp_millis(at))
+
+
+def transactions(log: DataFrame, txn: str = "gtid", pos: str = "pos", table: str = "table_id") -> DataFrame:
+    """(txn, first, last, events, tables): what the begin and end of each transaction say, and the events of each of its tables."""
+    each = log.where(F.col(txn).isNotNull()).groupBy(txn, table).agg(F.min(pos).alias("first"), F.max(pos).alias("last"), F.count("*").alias("n"))
+    counts = F.array_sort(F.collect_list(F.struct(F.col(table).alias("table_id"), F.col("n").alias("events"))))
+    return each.groupBy(F.col(txn).alias("txn")).agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("events"), counts.alias("tables"))

@@ -6,55 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.merge import table_bounds
-from tideline.plans.chunks import key_in
-
-#: Chunks up to this number are broadcast; more are looked up by their range.
-BROADCAST_CHUNKS = 100_000
+from tideline.plans.chunks import located
 
 
 def handover(log: DataFrame, chunks: DataFrame, key: str, pos: str = "pos", table: str | None = None) -> DataFrame:
     """Changes to emit: past their table's largest high watermark, or in a chunk and past that chunk's.
 
     chunks has lo, hi, high_wm and, with table, that column; high_wm is the last position that the chunk has merged.
-    Chunks are disjoint and cover all keys, so each change has one: with few chunks it is looked up in a broadcast
-    table; with more, changes are ranged by the chunks' lower bounds instead (see chunk_of).
-    """
-    few = chunks.limit(BROADCAST_CHUNKS + 1).count() <= BROADCAST_CHUNKS
-    if not few:
-        return chunk_of(log, chunks, key, table).where(F.col(pos) > F.col("high_wm")).select(*log.columns)
-    here = chunks.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col("high_wm").alias("__wm"), *([F.col(table).alias("__table")] if table else []))
-    same = F.col(table) == F.col("__table") if table else F.lit(True)
-    rule = same & (F.col(pos) > F.col("__wm")) & key_in(F.col(key), F.col("__lo"), F.col("__hi"))
-    return log.join(F.broadcast(here), rule, "left_semi")
-
-
-def chunk_of(log: DataFrame, chunks: DataFrame, key: str, table: str | None = None, buckets: int = 256) -> DataFrame:
-    """The log with its chunk's high_wm, by an equi-join: lower bounds, cut into buckets, are a small table of starts.
-
-    Of every bucket of chunks the first lower bound is broadcast (at most `buckets` rows a table); a change goes to its
-    bucket, and only meets the chunks there.
+    Chunks are disjoint and cover all keys, so each change has one, which is looked up by binary search.
     """
-    by = [table] if table else []
-    w = F.ntile(buckets).over(_window(by))
-    placed = chunks.withColumn("__b", w)
-    starts = placed.groupBy(*by, "__b").agg(F.min_by("lo", F.struct(F.col("lo").isNotNull(), "lo")).alias("lo"))
-    listed = starts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col("lo").isNotNull().alias("bounded"), "lo", "__b"))).alias("__starts"))
-    probe = log.join(F.broadcast(listed), by) if by else log.withColumn("__one", F.lit(1)).join(F.broadcast(listed.withColumn("__one", F.lit(1))), "__one").drop("__one")
-    last = F.element_at(F.filter("__starts", lambda s: ~s["bounded"] | (s["lo"] <= F.col(key))), -1)["__b"]
-    probe = probe.withColumn("__b", F.coalesce(last, F.lit(1))).drop("__starts")
-    c = placed.select(*by, "__b", F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), "high_wm")
-    return probe.join(c, [*by, "__b"]).where(key_in(F.col(key), F.col("__lo"), F.col("__hi"))).drop("__b", "__lo", "__hi")
-
+    return chunk_of(log, chunks, key, table).where(F.col(pos) > F.col("__high_wm")).drop("__high_wm")
 
-def _window(by: list[str]):
-    from pyspark.sql import Window
 
-    return Window.partitionBy(*by).orderBy(F.col("lo").asc_nulls_first())
+def chunk_of(log: DataFrame, chunks: DataFrame, key: str, table: str | None = None, name: str = "__high_wm") -> DataFrame:
+    """The log with its chunk's high watermark."""
+    return located(log, chunks.withColumn(name, F.col("high_wm")), key, [name], table)
 
 
 def pure_phase(log: DataFrame, chunks: DataFrame, table: str = "table_id", pos: str = "pos", unseen: bool = False) -> DataFrame:
     """Changes past their table's largest high watermark: an equi-join with a row a table. With unseen, those of tables without chunks too."""
-    bounds = F.broadcast(table_bounds(chunks, table))
+    bounds = table_bounds(chunks, table)  # a row a table, which adaptive execution broadcasts when it has seen its size
     joined = log.join(bounds, table, "left" if unseen else "inner")
     past = F.col(pos) > F.col("max_wm")
     return joined.where(past | F.col("max_wm").isNull() if unseen else past).drop("max_wm").select(*log.columns)

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 
 def latest_state(log: DataFrame, keys: list[str], pos: str = "pos", op: str = "op") -> DataFrame:
-    """The last record of each key, deleted keys left out, by a window: every column comes along."""
-    w = Window.partitionBy(*keys).orderBy(F.col(pos).desc())
-    return log.withColumn("__rn", F.row_number().over(w)).where((F.col("__rn") == 1) & (F.col(op) != "d")).drop("__rn")
+    """The last record of each key with all its columns, deleted keys left out.
+
+    One aggregate, which combines on the map side, so that hot keys cost a row for each task. Positions
+    don't repeat within a key but for repeated records.
+    """
+    rest = [c for c in log.columns if c not in keys]
+    last = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), pos).alias("__last"))
+    return last.where(F.col(f"__last.{op}") != "d").select(*(F.col(c) if c in keys else F.col(f"__last.{c}").alias(c) for c in log.columns))
 
 
 def latest_values(log: DataFrame, keys: list[str], values: list[str], pos: str = "pos", op: str = "op") -> DataFrame:
-    """The same by one aggregate, which combines on the map side, so that hot keys cost a row for each task."""
+    """The same of chosen columns only."""
     last = log.groupBy(*keys).agg(F.max_by(F.struct(op, *values), pos).alias("__last"))
     return last.where(F.col(f"__last.{op}") != "d").select(*keys, *(F.col(f"__last.{v}").alias(v) for v in values))
 

@@ -9,13 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.merge import latest_state
-from tideline.plans.chunks import key_in
+from tideline.plans.chunks import located
 
 
 def scan_chunks(table: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
-    """The table's rows with chunk_no, by a broadcast range join (a row for each chunk of one table)."""
-    c = F.broadcast(chunks.select("chunk_no", F.col("lo").alias("__lo"), F.col("hi").alias("__hi")))
-    return table.join(c, key_in(F.col(key), F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
+    """The table's rows with chunk_no, which is looked up by binary search."""
+    return located(table, chunks, key, ["chunk_no"])
 
 
 def chunk_rows(table: DataFrame, key: str, lo, hi) -> DataFrame:
@@ -30,8 +29,8 @@ def chunk_rows(table: DataFrame, key: str, lo, hi) -> DataFrame:
 
 def at_watermark(log: DataFrame, keys: list[str], chunks: DataFrame, key: str, mark: str, pos: str = "pos") -> DataFrame:
     """What a snapshot of each chunk would read when the log stood at the chunk's mark (low_wm or high_wm)."""
-    c = F.broadcast(chunks.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col(mark).alias("__wm")))
-    return latest_state(log.join(c, key_in(F.col(key), F.col("__lo"), F.col("__hi")) & (F.col(pos) <= F.col("__wm"))).drop("__lo", "__hi", "__wm"), keys, pos)
+    seen = located(log, chunks.withColumn("__wm", F.col(mark)), key, ["__wm"]).where(F.col(pos) <= F.col("__wm")).drop("__wm")
+    return latest_state(seen, keys, pos)
 
 
 def backfilled(log: DataFrame, keys: list[str], chunks: DataFrame, key: str, skip: bool = False, pos: str = "pos") -> DataFrame:
@@ -43,9 +42,8 @@ def backfilled(log: DataFrame, keys: list[str], chunks: DataFrame, key: str, ski
     read = at_watermark(log, keys, chunks, key, "low_wm", pos).withColumn("op", F.lit("r"))
     if skip:
         return read
-    c = F.broadcast(chunks.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col("low_wm").alias("__low"), F.col("high_wm").alias("__high")))
-    during = key_in(F.col(key), F.col("__lo"), F.col("__hi")) & (F.col(pos) > F.col("__low")) & (F.col(pos) <= F.col("__high"))
-    changes = log.join(c, during).drop("__lo", "__hi", "__low", "__high")
+    placed = located(log, chunks.select("lo", "hi", F.col("low_wm").alias("__low"), F.col("high_wm").alias("__high")), key, ["__low", "__high"])
+    changes = placed.where((F.col(pos) > F.col("__low")) & (F.col(pos) <= F.col("__high"))).drop("__low", "__high")
     return latest_state(read.unionByName(changes), keys, pos).withColumn("op", F.lit("r"))
 
 

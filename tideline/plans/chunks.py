@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.sources.shared import written
+
 CHUNK_SIZE, LOWER, UPPER = 8096, 0.05, 1000.0
 #: Key types whose distance is a number.
 EVEN_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
@@ -91,27 +93,73 @@ def uneven_chunks(df: DataFrame, key: str, chunk_size: int = CHUNK_SIZE) -> Data
     return found.where("chunk_no > 0 OR hi IS NOT NULL").unionByName(whole_table(df.sparkSession, df.schema[key].dataType).join(boundaries.limit(1), how="left_anti"))
 
 
-def dense_rank_by_range(keys: DataFrame, key: str, ranges: int = 64) -> DataFrame:
+#: Rows of a range of keys, which one task numbers.
+RANGE_ROWS = 1_000_000
+
+
+def dense_rank_by_range(keys: DataFrame, key: str, rows: int = RANGE_ROWS) -> DataFrame:
     """Adds rank, from 0 in key order, and total, without putting all rows in one task.
 
-    Approximate quantiles cut the keys into ranges; counts of the ranges, added up, are where each begins; rows are
-    ranked within theirs.
+    Keys of any ordered type are dealt by ranges of about so many rows, sorted within them, and written with the number
+    of their range and their place in it; counts of the ranges, added up, are where each begins. Only a row for each
+    range stands in one task.
     """
     from pyspark.sql import Window
 
-    kind = keys.schema[key].dataType
-    if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        cuts = F.array_distinct(F.expr(f"percentile_approx(`{key}`, array({', '.join(str(i / ranges) for i in range(1, ranges))}), 1000)"))
-        bounds = keys.agg(cuts.alias("c")).first()["c"] or []
-        bucket = sum((F.when(F.col(key) >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
-    else:  # the leading characters, in binary order, are ranges already
-        bucket = F.substring(F.col(key).cast("string"), 1, 12)
-    placed = keys.withColumn("__bucket", bucket)
-    sizes = placed.groupBy("__bucket").agg(F.count("*").alias("n"))
-    w = Window.orderBy("__bucket")
-    starts = sizes.select("__bucket", (F.sum("n").over(w) - F.col("n")).alias("start"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    ranked = placed.join(starts, "__bucket").withColumn("rank", F.col("start") + F.row_number().over(Window.partitionBy("__bucket").orderBy(key)) - 1)
-    return ranked.drop("__bucket", "start")
+    n = max(8, -(-keys.count() // rows))
+    placed = written(keys.repartitionByRange(n, key).sortWithinPartitions(key).withColumn("__id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__range", F.shiftright("__id", 33)).withColumn("__at", F.col("__id").bitwiseAND(2**33 - 1))
+    sizes = placed.groupBy("__range").agg(F.count("*").alias("n"))
+    w = Window.orderBy("__range")
+    starts = sizes.select("__range", (F.sum("n").over(w) - F.col("n")).alias("start"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    return placed.join(starts, "__range").withColumn("rank", F.col("start") + F.col("__at")).drop("__range", "__at", "__id", "start")
+
+
+#: Bytes of chunks that are broadcast at once; of more, some at a time.
+BROADCAST_BYTES = 64 << 20
+
+
+def located(rows: DataFrame, chunks: DataFrame, key: str, columns: list[str], table: str | None = None, most: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows with the chosen columns of the chunk that their key lies in; rows in none are left out.
+
+    chunks has lo and hi and, with table, that column; they are disjoint. Each table's chunks are one sorted array,
+    which is broadcast, and a row's is found by halves: a few comparisons a row, no range join. Their size is taken
+    first. Chunks of more than `most` bytes are cut by their bounds into parts, and rows looked up part by part.
+    """
+    by = [table] if table else []
+    width = F.coalesce(F.octet_length(F.col("lo").cast("string")), F.lit(0)) * 2 + 48
+    n, size = chunks.select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
+    parts = -(-(size or 0) // most)
+    if parts <= 1:
+        return _searched(rows, chunks, key, columns, by, n)
+    ranked = dense_rank_by_range(chunks.where("lo IS NOT NULL").select("lo"), "lo")
+    cut = (F.col("rank") > 0) & (F.col("rank") % F.ceil(F.col("total") / parts) == 0)
+    cuts = [r["lo"] for r in ranked.where(cut).select("lo").distinct().orderBy("lo").collect()]  # one for each part
+    out = None
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        here = F.col(key).isNull() | (F.col(key) < F.lit(high)) if low is None else F.col(key) >= F.lit(low)
+        here = here & (F.col(key) < F.lit(high)) if low is not None and high is not None else here
+        overlap = F.lit(True) if high is None else F.col("lo").isNull() | (F.col("lo") < F.lit(high))
+        overlap = overlap if low is None else overlap & (F.col("hi").isNull() | (F.col("hi") > F.lit(low)))
+        part = _searched(rows.where(here), chunks.where(overlap), key, columns, by, n)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _searched(rows: DataFrame, chunks: DataFrame, key: str, columns: list[str], by: list[str], n: int) -> DataFrame:
+    entry = F.struct(F.col("lo").isNotNull().alias("bounded"), F.col("lo").alias("lo"), F.col("hi").alias("hi"), *(F.col(c).alias(c) for c in columns))
+    listed = F.broadcast(chunks.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("__chunks")))
+    joined = rows.join(listed, by) if by else rows.withColumn("__one", F.lit(1)).join(listed.withColumn("__one", F.lit(1)), "__one").drop("__one")
+
+    def further(at: Column, step: Column) -> Column:
+        """Places by powers of two: on by the step if the chunk there doesn't begin behind the key."""
+        c = F.get("__chunks", at + step - 1)
+        return F.when(c["bounded"].isNotNull() & (~c["bounded"] | F.coalesce(c["lo"] <= F.col(key), F.lit(False))), at + step).otherwise(at)
+
+    powers = F.array(*(F.lit(1 << i) for i in reversed(range(max(1, int(n).bit_length())))))
+    found = joined.withColumn("__c", F.get("__chunks", F.aggregate(powers, F.lit(0), further) - 1)).drop("__chunks")
+    inside = F.col("__c.bounded").isNotNull() & key_in(F.col(key), F.col("__c.lo"), F.col("__c.hi"))
+    return found.where(inside).select(*(f"`{c}`" for c in rows.columns), *(F.col(f"__c.{c}").alias(c) for c in columns))
 
 
 def next_boundary(df: DataFrame, key: str, start, chunk_size: int) -> DataFrame:
@@ -148,6 +196,16 @@ def key_in(key: Column, lo: Column, hi: Column) -> Column:
     return F.when(key.isNull(), lo.isNull()).otherwise((lo.isNull() | (key >= lo)) & (hi.isNull() | (key < hi)))
 
 
+def comparable(key: Column, kind: T.DataType, other: T.DataType) -> tuple[Column, str]:
+    """A key cast so that it compares with values of another type, and the type that both take: the same stays, numbers meet as exact decimals (or doubles where one is), all else as text."""
+    if kind == other:
+        return key, kind.simpleString()
+    if isinstance(kind, T.NumericType) and isinstance(other, T.NumericType):
+        both = "double" if any(isinstance(x, (T.FloatType, T.DoubleType)) for x in (kind, other)) else "decimal(38,10)"
+        return key.cast(both), both
+    return key.cast("string"), "string"
+
+
 def scan_predicates(key: str, ranges: list[tuple]) -> list[str]:
     """A predicate for each range, as spark.read.jdbc takes them, one partition each."""
 

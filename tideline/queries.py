@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import convert as V
 from tideline.operators import changelog as L
@@ -18,6 +20,8 @@ from tideline.operators import twophase as P
 from tideline.plans import chunks as K
 from tideline.plans import offsets as O
 from tideline.sources import catalog as C
+from tideline.sources import jsonlog as J
+from tideline.sources.shared import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,17 +118,6 @@ def update_out_of_range_count(spark, sf_dir):
     return M.moved_out(envelopes(spark, sf_dir), before, after).agg(F.count("*").alias("moved"))
 
 
-@query(f"WITH {LOG_SQL}, {CHUNKS_SQL} SELECT min(high_wm)::BIGINT AS start, max(high_wm)::BIGINT AS stop FROM chunks")
-def start_stop_offsets(spark, sf_dir):
-    return M.log_bounds(user_chunks(spark)).select(F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"))
-
-
-@query("SELECT 'users:' || n AS split_id, floor((row_number() OVER (ORDER BY 'users:' || n) - 1) / 7)::BIGINT AS group_id FROM range(40) t(n)")
-def meta_groups(spark, sf_dir):
-    splits = spark.range(40).select(F.concat(F.lit("users:"), "id").alias("split_id"))
-    return M.meta_groups(splits, 7).select("split_id", F.col("group_id").cast("long").alias("group_id"))
-
-
 # --- chunks ---
 
 
@@ -226,8 +219,8 @@ def handover_filter(spark, sf_dir):
 
 @query(f"WITH {LOG_SQL}, {CHUNKS_SQL} SELECT pos, pk, high_wm::BIGINT AS high_wm FROM log JOIN chunks ON {IN_CHUNK_SQL}")
 def chunk_lookup(spark, sf_dir):
-    """The same chunks found by an equi-join, as for tables of very many chunks."""
-    return H.chunk_of(change_log(spark, sf_dir), user_chunks(spark), "pk", buckets=2).select("pos", "pk", "high_wm")
+    """The chunk of each change, by binary search."""
+    return H.chunk_of(change_log(spark, sf_dir), user_chunks(spark), "pk", name="high_wm").select("pos", "pk", "high_wm")
 
 
 @query(f"""WITH {LOG_SQL}, b(table_id, max_wm) AS (VALUES ('demo.click', 3000), ('demo.view', 7000))
@@ -255,29 +248,6 @@ def skip_backfill_state(spark, sf_dir):
     return M.latest_state(snapshot.unionByName(H.handover(log, chunks, "pk")), ["pk"]).select(*STATE)
 
 
-@query(f"WITH {CHUNKS_SQL} SELECT chunk_no::BIGINT AS chunk_no, greatest(high_wm, 2500)::BIGINT AS high_wm FROM chunks")
-def suspend_forwards_watermarks(spark, sf_dir):
-    return H.suspend(user_chunks(spark), F.lit(2500).cast("long")).select("chunk_no", "high_wm")
-
-
-CAPTURED, KNOWN = ["demo.orders", "demo.events", "demo.part"], ["demo.orders", "demo.region"]
-CAPTURED_SQL = "captured(table_id) AS (VALUES ('demo.orders'), ('demo.events'), ('demo.part')), known(table_id) AS (VALUES ('demo.orders'), ('demo.region'))"
-
-
-def _names(spark, names):
-    return spark.createDataFrame([(n,) for n in names], "table_id string")
-
-
-@query(f"WITH {CAPTURED_SQL} SELECT table_id FROM captured EXCEPT SELECT table_id FROM known")
-def new_tables(spark, sf_dir):
-    return H.new_tables(_names(spark, CAPTURED), _names(spark, KNOWN))
-
-
-@query(f"WITH {CAPTURED_SQL} SELECT table_id FROM known EXCEPT SELECT table_id FROM captured")
-def removed_tables(spark, sf_dir):
-    return H.removed_tables(_names(spark, CAPTURED), _names(spark, KNOWN))
-
-
 # --- two-phase commits ---
 
 FEED_SQL = """feed AS (
@@ -352,19 +322,124 @@ def custom_deserializer(spark, sf_dir):
     return X.deserialize(table(spark, sf_dir, "events").select("event_id", "props"), rows, "event_id long, name string, n long")
 
 
-@query(f"WITH {LOG_SQL} SELECT pos, event_id FROM log WHERE pos > 4000 AND pos <= 7000")
+# --- the log as files, read by the source ---
+
+
+def _publish(lines: DataFrame, folder: str, name: str) -> None:
+    """Lines as JSON-lines files, which get the names of a log's next files once they are whole."""
+    spark, draft = lines.sparkSession, f"{folder}-{name}"
+    lines.write.text(draft)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    files = sorted(f.getPath().toString() for f in fs.listStatus(path(draft)) if f.getPath().getName().startswith("part-"))
+    for k, file in enumerate(files):
+        fs.rename(path(file), path(f"{folder}/{name}.{k:06d}.jsonl"))
+    fs.delete(path(draft), True)
+
+
+def _lines(log: DataFrame) -> DataFrame:
+    """The change log as envelopes in JSON."""
+    image = F.struct("pk", "event_id", "value", F.col("pos").alias("number"))
+    source = F.struct(F.lit("demo").alias("db"), F.lit("users").alias("table"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), F.concat(F.lit("server:"), F.floor((F.col("pos") + 1) / 2)).alias("gtid"), (F.pmod(F.col("pos") - 1, F.lit(2)) + 1).alias("event"))
+    return log.select("pos", F.to_json(F.struct("op", F.struct("pk").alias("key"), F.when(F.col("op") != "d", image).alias("after"), F.when(F.col("op") == "d", image).alias("before"), source.alias("source"))).alias("value"))
+
+
+def write_log(spark, sf_dir, files: int = 3) -> str:
+    """The change log as JSON lines in files one after another; the folder."""
+    folder = f"{new_folder(spark)}/log"
+    _publish(_lines(change_log(spark, sf_dir)).repartitionByRange(files, "pos").sortWithinPartitions("pos").select("value"), folder, "log")
+    return folder
+
+
+def read_log(spark, folder, **options) -> DataFrame:
+    J.register(spark)
+    return parsed(spark.read.format("jsonlog").options(**options).load(folder))
+
+
+def parsed(rows: DataFrame) -> DataFrame:
+    """(file, at, op, ts_ms, gtid, pk, event_id, value, number) of what the source gives: at is the position in the file, number the record's in the log."""
+    image = F.from_json(F.coalesce("after", "before"), "pk long, event_id long, value double, number long")
+    return rows.where("kind = 'data'").select("file", F.col("pos").alias("at"), "op", "ts_ms", "gtid", image.alias("i")).select("file", "at", "op", "ts_ms", "gtid", "i.*")
+
+
+def _place(spark, folder, event_id) -> tuple[str, int]:
+    """Where in the files the record of an event ends."""
+    r = read_log(spark, folder).where(F.col("event_id") == event_id).select("file", "at").first()
+    return r.file, r["at"]
+
+
+def _event_at(spark, sf_dir, pos: int) -> int:
+    return change_log(spark, sf_dir).where(F.col("pos") == pos).first().event_id
+
+
+def _specific(place, **more) -> dict:
+    return {"scan.startup.mode": "specific-offset", "scan.startup.specific-offset.file": place[0], "scan.startup.specific-offset.pos": str(place[1])} | {f"scan.startup.specific-offset.{k.replace('_', '-')}": str(v) for k, v in more.items()}
+
+
+@query(f"WITH {LOG_SQL} SELECT pk, event_id, op FROM log WHERE pos > 400 AND pos <= 700")
 def bounded_log_read(spark, sf_dir):
-    """What a backfill reads: (low, high]."""
-    return change_log(spark, sf_dir).where((F.col("pos") > 4000) & (F.col("pos") <= 7000)).select("pos", "event_id")
+    """What a backfill reads, by the source: behind the low position up to the high one."""
+    folder = write_log(spark, sf_dir)
+    low, high = (_place(spark, folder, _event_at(spark, sf_dir, p)) for p in (400, 700))
+    return read_log(spark, folder, **_specific(low), **{"end-file": high[0], "end-pos": str(high[1])}).select("pk", "event_id", "op")
+
+
+@query(f"WITH {LOG_SQL} SELECT pk, event_id, op FROM log")
+def startup_earliest(spark, sf_dir):
+    return read_log(spark, write_log(spark, sf_dir)).select("pk", "event_id", "op")
+
+
+@query(f"WITH {LOG_SQL} SELECT count(*) - count(*) AS n FROM log")
+def startup_latest(spark, sf_dir):
+    return read_log(spark, write_log(spark, sf_dir), **{"scan.startup.mode": "latest-offset"}).agg(F.count("*").alias("n"))
+
 
+@query(f"WITH {LOG_SQL} SELECT pk, event_id, op FROM log WHERE pos > 504")
+def startup_specific(spark, sf_dir):
+    """From behind record 500 on, less two transactions of two events: of the first, which goes on there, two events, and then what is known by id."""
+    folder = write_log(spark, sf_dir)
+    place = _place(spark, folder, _event_at(spark, sf_dir, 500))
+    rows = read_log(spark, folder, **_specific(place, skip_events=2))
+    return rows.where("gtid <> 'server:252'").select("pk", "event_id", "op")
 
-# --- startup and offsets ---
 
-@query(f"WITH {LOG_SQL}, t AS (SELECT floor(epoch(ts)) AS s FROM log WHERE pos = 100) SELECT pos, event_id FROM log, t WHERE epoch(ts) >= s")
+@query(f"WITH {LOG_SQL} SELECT pk, event_id, op FROM log WHERE pos > 600")
+def startup_gtids(spark, sf_dir):
+    return read_log(spark, write_log(spark, sf_dir), **{"scan.startup.mode": "specific-offset", "scan.startup.specific-offset.gtid-set": "server:1-300"}).select("pk", "event_id", "op")
+
+
+@query(f"WITH {LOG_SQL}, t AS (SELECT floor(epoch(ts)) AS s FROM log WHERE pos = 100) SELECT pk, event_id, op FROM log, t WHERE epoch(ts) >= s")
 def timestamp_start(spark, sf_dir):
-    log = change_log(spark, sf_dir)
-    millis = log.where("pos = 100").select(F.unix_millis(F.col("ts").cast("timestamp"))).first()[0]
-    return log.where(L.from_timestamp(F.col("ts"), F.lit("data"), millis)).select("pos", "event_id")
+    """From the second of record 100 on, by the source."""
+    millis = change_log(spark, sf_dir).where("pos = 100").select(F.unix_millis(F.col("ts").cast("timestamp"))).first()[0]
+    return read_log(spark, write_log(spark, sf_dir), **{"scan.startup.mode": "timestamp", "scan.startup.timestamp-millis": str(millis)}).select("pk", "event_id", "op")
+
+
+def write_snapshot(spark, sf_dir, log_folder: str, pos: int) -> dict[str, str]:
+    """The table as the log had it at a position, and the options that have a source read it first."""
+    folder = new_folder(spark)
+    log = change_log(spark, sf_dir).where(F.col("pos") <= pos)
+    M.latest_values(log, ["pk"], ["event_id", "value"]).write.parquet(folder)
+    place = _place(spark, log_folder, _event_at(spark, sf_dir, pos))
+    return {"snapshot.path": folder, "snapshot.key": "pk", "snapshot.table": "demo.users", "snapshot.file": place[0], "snapshot.pos": str(place[1])}
+
+
+@query(f"WITH {LOG_SQL} SELECT pk, event_id, 'r' AS op FROM (SELECT *, row_number() OVER (PARTITION BY pk ORDER BY pos DESC) AS rn FROM log WHERE pos <= 600) WHERE rn = 1 AND op <> 'd'")
+def startup_snapshot(spark, sf_dir):
+    folder = write_log(spark, sf_dir)
+    return read_log(spark, folder, **{"scan.startup.mode": "snapshot"}, **write_snapshot(spark, sf_dir, folder, 600)).select("pk", "event_id", "op")
+
+
+STATE_BY_EVENT_SQL = f"WITH {LOG_SQL} SELECT pk, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY pk ORDER BY pos DESC) AS rn FROM log) WHERE rn = 1 AND op <> 'd'"
+
+
+@query(STATE_BY_EVENT_SQL)
+def startup_initial(spark, sf_dir):
+    """Snapshot and then log behind one source, merged by key: the state of the log alone."""
+    folder = write_log(spark, sf_dir)
+    rows = read_log(spark, folder, **{"scan.startup.mode": "initial"}, **write_snapshot(spark, sf_dir, folder, 600))
+    return M.latest_values(rows.withColumn("order", F.struct("file", "at", F.col("op") != "r")), ["pk"], ["event_id", "value"], pos="order")
 
 
 @query(f"""WITH {LOG_SQL}, s AS (SELECT *, event_id * 37 % 10007 AS t FROM log), f AS (SELECT min(pos) AS first FROM s WHERE t >= 9000)
@@ -389,18 +464,8 @@ def binlog_file_for_ts(spark, sf_dir):
 OFFSET_SQL = "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'bin.000002' WHEN 1 THEN 'BIN.000002' ELSE 'bin.000010' END AS file, event_id * 31 % 50 AS pos, event_id % 4 AS event, event_id * 7 % 3 AS row FROM events"
 
 
-@query(f"SELECT event_id, row_number() OVER (ORDER BY lower(file), pos, event, \"row\", event_id) AS rank FROM ({OFFSET_SQL}) WHERE event_id < 500")
-def offset_order(spark, sf_dir):
-    from pyspark.sql import Window
-
-    e = table(spark, sf_dir, "events").where("event_id < 500")
-    i = F.col("event_id")
-    file = F.when(i % 3 == 0, "bin.000002").when(i % 3 == 1, "BIN.000002").otherwise("bin.000010")
-    return e.select("event_id", F.row_number().over(Window.orderBy(O.order_key(file, i * 31 % 50, i % 4, i * 7 % 3), "event_id")).cast("long").alias("rank"))
-
-
 @query(f"SELECT event_id, row_number() OVER (ORDER BY lower(file), pos, event, \"row\", event_id) AS rank FROM ({OFFSET_SQL})")
-def offset_order_all(spark, sf_dir):
+def offset_order(spark, sf_dir):
     """Every event's rank. Buckets are whole offsets with ranges of ids, so no task ranks more than a few thousand rows of one offset."""
     i = F.col("event_id")
     file = F.when(i % 3 == 0, "bin.000002").when(i % 3 == 1, "BIN.000002").otherwise("bin.000010")
@@ -627,20 +692,350 @@ def lag_metrics(spark, sf_dir):
 
 @query(STATE_SQL)
 def stream_state_available_now(spark, sf_dir):
-    """The log as a stream of several micro-batches through the upserting sink, then its state."""
-    import uuid
+    """The log as a stream through the upserting sink, then its state.
 
+    A third of the records arrives with each of three runs, every run with records from all over the log, so that most
+    keys' records come out of order.
+    """
     from tideline.options import SinkOptions
     from tideline.streaming.state import UpsertSink, upsert_stream
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file:/tmp/tideline-{spark.sparkContext.applicationId}"
-    folder = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    log = change_log(spark, sf_dir).drop("ts")
-    log.repartitionByRange(3, "pos").write.parquet(f"{folder}/log")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
-    sink = UpsertSink(SinkOptions.read({"path": f"{folder}/state", "primary-key": "pk"}), ["event_id", "value", "pos"])
-    upsert_stream(stream, sink, f"{folder}/checkpoint").awaitTermination()
-    return sink.read(spark).select(*STATE)
+    folder, log = new_folder(spark), _lines(change_log(spark, sf_dir))
+    sink = UpsertSink(SinkOptions.read({"sink.data.save.directory": f"{folder}/state", "primary-key": "pk", "sink.create.schema.allowed": "true", "sink.parallelism": "8"}), ["event_id", "value", "number"], pos="number")
+    J.register(spark)
+    for run, third in enumerate((2, 0, 1)):
+        _publish(log.where(F.pmod("pos", F.lit(3)) == third).select("value"), f"{folder}/log", f"log.{run}")
+        stream = parsed(spark.readStream.format("jsonlog").load(f"{folder}/log"))
+        upsert_stream(stream, sink, f"{folder}/checkpoint").awaitTermination()
+    return sink.read(spark).withColumnRenamed("number", "pos").select(*STATE)
+
+
+def write_feed(spark, sf_dir, folder: str, low: int, high: int | None) -> None:
+    """The feed's records of a span of times, as lines of four regions, and the regions' word that it is complete."""
+    f = feed(spark, sf_dir).withColumn("t", F.coalesce("commit_ts", "start_ts"))
+    f = f.where((F.col("t") >= low) & (F.lit(True) if high is None else F.col("t") < high))
+    region = F.concat(F.lit("r"), F.pmod("handle", F.lit(4)))
+    rows = f.select(F.to_json(F.struct(F.lit("ROW").alias("kind"), region.alias("region"), "log_type", "table_id", "handle", "start_ts", "commit_ts", F.col("value").cast("string").alias("value"))).alias("value"))
+    done = 5000 if high is None else high - 1
+    marks = spark.range(4).select(F.to_json(F.struct(F.lit("RESOLVED").alias("kind"), F.concat(F.lit("r"), "id").alias("region"), (F.lit(done) + F.col("id")).alias("resolved_ts"))).alias("value"))
+    _publish(rows.union(marks), folder, f"feed.{low:09d}")
+
+
+TWO_PHASE_SQL = ORACLE_SQL["two_phase_commit"]
+
+
+@query(TWO_PHASE_SQL)
+def two_phase_stream_available_now(spark, sf_dir):
+    """The feed as a stream of four regions over three runs, its commits flushed by the regions' resolved times."""
+    from tideline.sources.kvfeed import KvFeed
+    from tideline.streaming.state import CommitSink, two_phase_stream
+
+    spark.dataSource.register(KvFeed)
+    folder = new_folder(spark)
+    sink = CommitSink(f"{folder}/state", ["value"])
+    for low, high in ((0, 2000), (2000, 4000), (4000, None)):
+        write_feed(spark, sf_dir, f"{folder}/feed", low, high)
+        stream = spark.readStream.format("kvfeed").load(f"{folder}/feed").drop("op")
+        two_phase_stream(stream, sink, f"{folder}/checkpoint").awaitTermination()
+    return sink.read(spark).select("table_id", "handle", "commit_ts", F.col("value").cast("double").alias("value"))
+
+
+@query(f"""WITH {FEED_SQL} SELECT 'r' || handle % 4 AS region, log_type, count(*) AS n FROM feed
+WHERE table_id IN (3, 5, 8) AND (handle BETWEEN 100 AND 6000 OR handle BETWEEN 7000 AND 7500) GROUP BY 1, 2""")
+def region_feed(spark, sf_dir):
+    """What the feed's source gives of some tables and handle ranges, by region."""
+    from tideline.sources.kvfeed import KvFeed
+
+    spark.dataSource.register(KvFeed)
+    folder = f"{new_folder(spark)}/feed"
+    write_feed(spark, sf_dir, folder, 0, None)
+    rows = spark.read.format("kvfeed").options(tables="3,5,8", ranges="100-6000,7000-7500").load(folder)
+    return rows.where("handle IS NOT NULL").groupBy("region", "log_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey AS handle, o_custkey AS cust, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 2 = 0 THEN 7 ELSE -o_orderkey END AS n FROM orders")
+def row_codec(spark, sf_dir):
+    """Rows in the compact format, nulls, defaults of missing columns and the handle among them, decoded by their schema."""
+    from tideline.sources import rowcodec as R
+
+    def number(x, size):
+        """Little-endian bytes, in hex."""
+        digits = F.lpad(F.hex(x.cast("long")), 16, "0")
+        return F.concat(*(F.substring(digits, 15 - 2 * i, 2) for i in range(size)))
+
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    null, short = k % 5 == 0, k % 2 == 0
+    ids = F.concat(F.lit("02"), F.when(null, "").otherwise("03"), F.when(short, "").otherwise("04"), F.when(null, "03").otherwise(""))
+    status = F.when(null, "").otherwise(F.hex(F.encode("o_orderstatus", "UTF-8")))
+    n = F.when(short, "").otherwise(number(-k, 8))
+    sizes = [F.lit(8), F.when(null, 0).otherwise(F.octet_length("o_orderstatus")), F.when(short, 0).otherwise(8)]
+    ends = F.concat(number(sizes[0], 2), F.when(null, "").otherwise(number(sizes[0] + sizes[1], 2)), F.when(short, "").otherwise(number(sizes[0] + sizes[1] + sizes[2], 2)))
+    count = F.lit(1) + F.when(null, 0).otherwise(1) + F.when(short, 0).otherwise(1)
+    data = F.unhex(F.concat(F.lit("8000"), number(count, 2), number(F.when(null, 1).otherwise(0), 2), ids, ends, number(c, 8), status, n))
+    columns = [R.ColumnInfo(1, "handle", "int", handle=True), R.ColumnInfo(2, "cust", "int"), R.ColumnInfo(3, "status", "string"), R.ColumnInfo(4, "n", "int", 7)]
+    return table(spark, sf_dir, "orders").select(R.decode_rows(data, k, columns).alias("r")).select("r.*")
+
+
+@query("SELECT event_type, count(*) FILTER (WHERE event_id % 3 = 0) AS records, count(*) AS n FROM events GROUP BY event_type")
+def record_keys(spark, sf_dir):
+    """Encoded keys, of rows and of an index; only rows' count."""
+    i = F.col("event_id")
+    key = F.unhex(F.concat(F.lit("74"), F.lpad(F.hex(F.col("user_id")), 16, "0"), F.when(i % 3 == 0, "5F72").otherwise("5F69"), F.lpad(F.hex(i), 16, "0")))
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(K.is_record_key(key)).alias("records"), F.count("*").alias("n"))
+
+
+@query(f"WITH c AS ({_even_sql('lineitem', 'l_orderkey')}) SELECT chunk_no, greatest(coalesce(lo, 0), 1000)::BIGINT AS start, least(coalesce(hi, 1000000), 9000)::BIGINT AS stop FROM c WHERE greatest(coalesce(lo, 0), 1000) < least(coalesce(hi, 1000000), 9000)")
+def range_overlap(spark, sf_dir):
+    lo, hi = (F.coalesce(F.col(c).cast("long"), F.lit(v)) for c, v in (("lo", 0), ("hi", 1_000_000)))
+    start, stop = K.overlap(lo, hi, F.lit(1000).cast("long"), F.lit(9000).cast("long"))
+    return chunk_even_lineitem(spark, sf_dir).select("chunk_no", start.alias("start"), stop.alias("stop")).where("start < stop")
+
+
+DDL = ["ALTER TABLE demo.orders ADD c INT", "insert into demo.orders values (1)", "CREATE TABLE demo.part (a INT)", "  BEGIN", "/* hint */ SELECT 1", "DROP TABLE x.y", ""]
+
+
+@query(f"""WITH {LOG_SQL}, s AS (SELECT pos, ['{"', '".join(DDL)}'][pos % {len(DDL)} + 1] AS ddl FROM log)
+SELECT ddl, count(*) AS n FROM s WHERE pos % {len(DDL)} IN (0, 2) GROUP BY ddl""")
+def schema_changes(spark, sf_dir):
+    """Statements of the log that are schema changes, of tables that are included."""
+    ddl = F.get(F.array(*map(F.lit, DDL)), F.pmod("pos", F.lit(len(DDL))).cast("int"))
+    log = change_log(spark, sf_dir).select("pos", ddl.alias("ddl"))
+    return L.schema_changes(log.where(L.is_ddl(F.col("ddl"))), F.col("ddl").contains("demo.")).groupBy("ddl").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {LOG_SQL} SELECT CASE pos % 4 WHEN 3 THEN NULL ELSE 'server-' || pos % 4 END AS uuid, count(*) AS n FROM log WHERE pos % 4 IN (1, 2, 3) GROUP BY 1")
+def changes_of_servers(spark, sf_dir):
+    uuid_ = F.when(F.col("pos") % 4 != 3, F.concat(F.lit("server-"), (F.col("pos") % 4).cast("string")))
+    log = change_log(spark, sf_dir).select("pos", uuid_.alias("uuid"))
+    return log.where(L.from_sources(F.col("uuid"), include=["server-[12]"])).groupBy("uuid").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {LOG_SQL}, {CHUNKS_SQL},
+s AS (SELECT chunk_no, pk, arg_max(op, pos) AS op FROM log JOIN chunks ON {IN_CHUNK_SQL} AND pos <= low_wm GROUP BY 1, 2)
+SELECT chunk_no::BIGINT AS chunk_no, low_wm::BIGINT AS low_wm, (SELECT count(*) FROM s WHERE s.chunk_no = chunks.chunk_no AND op <> 'd') AS n, high_wm::BIGINT AS high_wm FROM chunks""")
+def chunk_output(spark, sf_dir):
+    """What each chunk gives: its low watermark, rows, and high watermark."""
+    chunks, log = user_chunks(spark), change_log(spark, sf_dir)
+    rows = S.scan_chunks(S.at_watermark(log, ["pk"], chunks, "pk", "low_wm"), chunks, "pk").groupBy("chunk_no").agg(F.count("*").alias("n"))
+    return chunks.join(rows, "chunk_no", "left").select("chunk_no", "low_wm", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "high_wm")
+
+
+def _planned(spark, sf_dir) -> DataFrame:
+    """Chunks of two tables, each with the watermark at which it was read."""
+    parts = []
+    for name, key, wm in (("orders", "o_orderkey", 100), ("lineitem", "l_orderkey", 40)):
+        parts.append(_even(spark, sf_dir, name, key).select(F.lit(f"demo.{name}").alias("table_id"), "chunk_no", "lo", "hi", (F.col("chunk_no") * 7 + wm).alias("high_wm")))
+    return parts[0].unionByName(parts[1])
+
+
+_PLANNED_SQL = " UNION ALL ".join(f"SELECT 'demo.{n}' AS table_id, chunk_no, chunk_no * 7 + {wm} AS high_wm FROM ({_even_sql(n, k)})" for n, k, wm in (("orders", "o_orderkey", 100), ("lineitem", "l_orderkey", 40)))
+
+
+@query(f"SELECT min(high_wm)::BIGINT AS start, max(high_wm)::BIGINT AS stop FROM ({_PLANNED_SQL})")
+def start_stop_offsets(spark, sf_dir):
+    """Where the log begins behind the chunks of two planned tables, and where a bounded read of it ends."""
+    return M.log_bounds(_planned(spark, sf_dir)).select(F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"))
+
+
+@query(f"SELECT table_id || ':' || chunk_no AS split_id, floor((row_number() OVER (ORDER BY table_id || ':' || chunk_no) - 1) / 3)::BIGINT AS group_id FROM ({_PLANNED_SQL})")
+def meta_groups(spark, sf_dir):
+    """Planned chunks in groups of three, in the order of their names."""
+    splits = _planned(spark, sf_dir).select(F.concat("table_id", F.lit(":"), "chunk_no").alias("split_id"))
+    return M.meta_groups(splits, 3).select("split_id", F.col("group_id").cast("long").alias("group_id"))
+
+
+@query(f"SELECT table_id, chunk_no::BIGINT AS chunk_no, greatest(high_wm, 110)::BIGINT AS high_wm FROM ({_PLANNED_SQL})")
+def suspend_forwards_watermarks(spark, sf_dir):
+    return H.suspend(_planned(spark, sf_dir), F.lit(110).cast("long")).select("table_id", "chunk_no", F.col("high_wm").cast("long").alias("high_wm"))
+
+
+@query(f"SELECT count(*) AS chunks, min(high_wm)::BIGINT AS start FROM ({_PLANNED_SQL})")
+def append_chunks(spark, sf_dir):
+    """Chunks of a table that is new join those that stream already; the log begins at the smallest watermark."""
+    planned = _planned(spark, sf_dir)
+    every, start = H.append_chunks(planned.where("table_id = 'demo.orders'"), planned.where("table_id = 'demo.lineitem'"))
+    return every.agg(F.count("*").alias("chunks")).crossJoin(F.broadcast(start.select(F.col("start").cast("long").alias("start"))))
+
+
+@query(f"SELECT table_id, count(*) AS n FROM ({_PLANNED_SQL}) WHERE table_id IN (SELECT 'demo.' || event_type FROM events UNION ALL SELECT 'demo.orders') GROUP BY table_id")
+def drop_removed(spark, sf_dir):
+    """Chunks of tables that are still captured."""
+    names = table(spark, sf_dir, "events").select(F.concat(F.lit("demo."), "event_type").alias("table_id")).distinct().union(spark.range(1).select(F.lit("demo.orders")))
+    return H.drop_removed(_planned(spark, sf_dir), names).groupBy("table_id").agg(F.count("*").alias("n"))
+
+
+_CAPTURED_SQL = "c AS (SELECT DISTINCT 'demo.' || event_type AS table_id FROM events), k AS (SELECT DISTINCT 'demo.' || event_type AS table_id FROM events WHERE event_type IN ('click', 'view') UNION SELECT 'demo.' || c_mktsegment FROM customer)"
+
+
+def _tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(captured, known) names of tables, drawn from the data."""
+    e = table(spark, sf_dir, "events").select(F.concat(F.lit("demo."), "event_type").alias("table_id")).distinct()
+    segments = table(spark, sf_dir, "customer").select(F.concat(F.lit("demo."), "c_mktsegment").alias("table_id")).distinct()
+    return e, e.where("table_id IN ('demo.click', 'demo.view')").union(segments)
+
+
+@query(f"WITH {_CAPTURED_SQL} SELECT table_id FROM c EXCEPT SELECT table_id FROM k")
+def new_tables(spark, sf_dir):
+    return H.new_tables(*_tables(spark, sf_dir))
+
+
+@query(f"WITH {_CAPTURED_SQL} SELECT table_id FROM k EXCEPT SELECT table_id FROM c")
+def removed_tables(spark, sf_dir):
+    return H.removed_tables(*_tables(spark, sf_dir))
+
+
+@query("""WITH f AS (SELECT 'log.' || strftime(ts, '%Y%m%d') AS file, min(epoch_us(ts) // 1000000) AS first_ts, count(*) AS stop FROM events GROUP BY 1),
+o AS (SELECT arg_min(file, file) AS first_file, max(file) AS last_file, arg_max(stop, file) AS last_stop FROM f), t AS (SELECT min(first_ts) + 86400 AS s FROM f)
+SELECT 'EARLIEST' AS kind, first_file AS file, 0::BIGINT AS pos FROM o UNION ALL SELECT 'LATEST', last_file, last_stop FROM o
+UNION ALL SELECT 'TIMESTAMP', coalesce((SELECT max(file) FROM f, t WHERE first_ts <= s), (SELECT first_file FROM o)), 0 UNION ALL SELECT 'SPECIFIC', 'log.x', 7""")
+def offset_resolution(spark, sf_dir):
+    """Where each kind of start begins, by the log's files: a row a day."""
+    e = table(spark, sf_dir, "events")
+    at = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    days = e.groupBy(F.concat(F.lit("log."), F.date_format("ts", "yyyyMMdd")).alias("file")).agg(F.min(at).alias("first_ts"), F.count("*").alias("end")).orderBy("file").collect()
+    manifest = [r.asDict() for r in days]
+    starts = [O.EARLIEST, O.LATEST, O.at_timestamp((manifest[0]["first_ts"] + 86_400) * 1000), O.Offset(file="log.x", pos=7)]
+    return spark.createDataFrame([(o.kind, (r := O.resolve(o, manifest)).file, r.pos) for o in starts], "kind string, file string, pos long")
+
+
+@query("""SELECT event_type, count(*) = count(*) FILTER (WHERE event_id % 2 = 0) AS available FROM events GROUP BY event_type""")
+def offset_availability(spark, sf_dir):
+    """Whether a start by transaction ids can be had: each type of events is a server whose log has its even ids only."""
+    ids = table(spark, sf_dir, "events").groupBy("event_type").agg(F.min("event_id").alias("low"), F.max("event_id").alias("high"), F.count("*").alias("n"), F.count_if(F.col("event_id") % 2 == 0).alias("even"))
+    out = []
+    for r in ids.collect():  # a row for each server
+        try:
+            O.check_available(O.Offset(gtids=f"{r.event_type}:1-{r.n}"), [], available=f"{r.event_type}:1-{r.even}" if r.even else "")
+            out.append((r.event_type, True))
+        except O.LogPurged:
+            out.append((r.event_type, False))
+    return spark.createDataFrame(out, "event_type string, available boolean")
+
+
+@query("SELECT user_id, sum(event_id)::BIGINT AS total, count(*) AS n FROM events WHERE event_id % 3 <> 0 OR event_id % 7 = 0 GROUP BY user_id")
+def gtid_sets(spark, sf_dir):
+    """Sets of transaction ids by user: all less every third, and every seventh again; their intervals' sums and sizes."""
+    i = F.col("event_id")
+    ids = table(spark, sf_dir, "events").groupBy("user_id").agg(*(F.array_sort(F.collect_list(F.when(c, i))).alias(n) for n, c in (("all", F.lit(True)), ("third", i % 3 == 0), ("seventh", i % 7 == 0))))
+
+    def sums(frames):
+        for f in frames:
+            def of(values):
+                return O.GtidSet({"u": [(int(v), int(v)) for v in values]})
+
+            left = [of(a).minus(of(b)).plus(of(c).minus(O.GtidSet())) for a, b, c in zip(f["all"], f["third"], f["seventh"], strict=True)]
+            spans = [g.of.get("u", []) for g in left]
+            f["total"] = [sum((a + b) * (b - a + 1) // 2 for a, b in s) for s in spans]
+            f["n"] = [sum(b - a + 1 for a, b in s) for s in spans]
+            yield f[["user_id", "total", "n"]]
+
+    return ids.mapInPandas(sums, "user_id long, total long, n long")
+
+
+@query("SELECT * FROM (VALUES ('INITIAL_ASSIGNING', 'snapshot finished', 'INITIAL_FINISHED'), ('INITIAL_FINISHED', 'tables added', 'NEWLY_ADDED_ASSIGNING'), ('NEWLY_ADDED_ASSIGNING', 'snapshot finished', 'NEWLY_ADDED_SNAPSHOT_FINISHED'), ('NEWLY_ADDED_SNAPSHOT_FINISHED', 'log updated', 'NEWLY_ADDED_FINISHED'), ('NEWLY_ADDED_FINISHED', 'tables added', 'NEWLY_ADDED_ASSIGNING')) t(status, event, next)")
+def job_states(spark, sf_dir):
+    """Every step that a job's state may take."""
+    from tideline.plans import fsm
+
+    rows = []
+    for status in fsm.Status:
+        for event in fsm.Event:
+            try:
+                rows.append((status.name, event.value, fsm.step(status, event).name))
+            except ValueError:
+                continue
+    return spark.createDataFrame(rows, "status string, event string, next string")
+
+
+@query("SELECT event_id // 700 AS page, count(*) AS n, max(event_id) AS last FROM events WHERE event_id >= 0 AND event_id < 5000 GROUP BY 1")
+def paged_scan(spark, sf_dir):
+    """A scan of keys in pages of 700, each from behind the last key of the one before."""
+    keys = table(spark, sf_dir, "events").select(F.lpad(F.hex("event_id"), 8, "0").alias("k"), "event_id")
+
+    def scan(start: bytes, n: int):
+        text = start.decode().rstrip("\0")
+        rows = keys.where(F.col("k") > text if start.endswith(b"\0") else F.col("k") >= text).orderBy("k").limit(n).collect()
+        return [(r.k.encode(), r.event_id) for r in rows]
+
+    out = [(i, len(page), page[-1][1]) for i, page in enumerate(B.pages(scan, b"0" * 8, f"{5000:08X}".encode(), 700))]
+    return spark.createDataFrame(out, "page long, n long, last long")
+
+
+DEFAULTS = [
+    ("int", "2.5", "3"), ("int", "-2.5", "-2"), ("tinyint(1)", "true", "True"), ("decimal(10,2)", "1.005", "1.01"), ("varchar(9)", "_utf8'it''s'", "it's"), ("date", "0000-00-00", None),
+    ("datetime", "2020.1.2 3-4-5", "2020-01-02 03:04:05"), ("timestamp", "CURRENT_TIMESTAMP", "1970-01-01 00:00:00"), ("double", "1e3", "1000.0"), ("bit(16)", "b'0000000111111111'", "b'\\x01\\xff'"), ("time", "-01:02:03", "-1 day, 22:57:57"),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join("('{}', '{}', {})".format(a, b.replace("'", "''"), "NULL" if c is None else "'" + c.replace("'", "''") + "'") for a, b, c in DEFAULTS) + ") t(source_type, written, value)")
+def column_defaults(spark, sf_dir):
+    """Defaults of columns as a catalog writes them, as values of their types."""
+    rows = [(kind, text, None if (v := V.default_value(text, kind)) is None else str(v)) for kind, text, _ in DEFAULTS]
+    return spark.createDataFrame(rows, "source_type string, written string, value string")
+
+
+@query("SELECT event_id, (event_id % 3 > 1 OR event_id % 3 = 1 AND event_id % 12 >= 5) AS new_enough FROM events")
+def version_compare(spark, sf_dir):
+    """Whether made-up versions are 1.5 or newer, numbers compared as numbers."""
+    i = F.col("event_id")
+    version = F.concat((i % 3).cast("string"), F.lit("."), (i % 12).cast("string"), F.lit("."), (i % 5).cast("string"), F.lit("-log"))
+
+    @F.pandas_udf("boolean")
+    def newer(versions: pd.Series) -> pd.Series:
+        return versions.map(lambda v: V.version_key(v) >= (1, 5, 0))
+
+    return table(spark, sf_dir, "events").select("event_id", newer(version).alias("new_enough"))
+
+
+@query("SELECT event_id, epoch_us(ts) // 1000 AS millis, strftime(ts, '%Y-%m-%d %H:%M:%S') AS local FROM events")
+def conv_timestamp(spark, sf_dir):
+    """Timestamps as local date-times."""
+    local = V.timestamp_or_null(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return table(spark, sf_dir, "events").select("event_id", F.unix_millis(local.cast("timestamp")).alias("millis"), F.date_format(local, "yyyy-MM-dd HH:mm:ss").alias("local"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id END::INTEGER AS srid, lpad(format('{:X}', event_id), 16, '0') AS wkb FROM events")
+def conv_geometry_wkb(spark, sf_dir):
+    """Stored geometries as well-known binary and srid, byte for byte."""
+    i = F.col("event_id")
+    digits = F.lpad(F.hex(F.when(i % 3 == 0, 0).otherwise(i)), 8, "0")
+    little = F.concat(*(F.substring(digits, 7 - 2 * k, 2) for k in range(4)))
+    shape = V.wkb_struct(F.unhex(F.concat(little, F.lpad(F.hex(i), 16, "0"))))
+    return table(spark, sf_dir, "events").select("event_id", shape["srid"].alias("srid"), F.hex(shape["wkb"]).alias("wkb"))
+
+
+@query(f"WITH {LOG_SQL} SELECT 'server:' || (pos + 1) // 2 AS txn, min(pos) AS first, max(pos) AS last, count(*) AS events, 1::BIGINT AS tables FROM log GROUP BY 1")
+def transaction_events(spark, sf_dir):
+    """The log's transactions: where each begins and ends, and its events."""
+    log = change_log(spark, sf_dir).select("pos", F.concat(F.lit("server:"), F.floor((F.col("pos") + 1) / 2)).alias("gtid"), F.lit("demo.users").alias("table_id"))
+    return L.transactions(log).withColumn("tables", F.size("tables").cast("long"))
+
+
+@query(f"WITH {LOG_SQL} SELECT pos, CASE WHEN op <> 'c' AND epoch_us(ts) > 0 THEN epoch_us(ts) // 1000 END AS millis FROM log")
+def event_times(spark, sf_dir):
+    """Times for watermarks; signups count as rows of a snapshot here, which have none."""
+    env = envelopes(spark, sf_dir).withColumn("op", F.when(F.col("op") == "c", "r").otherwise(F.col("op")))
+    return env.select("pos", F.unix_millis(L.event_time(env)).alias("millis"))
+
+
+@query(f"WITH {LOG_SQL} SELECT op, count(*) AS n FROM log GROUP BY op")
+def log_by_sql(spark, sf_dir):
+    """The log as a view in SQL over the source, its options given there."""
+    J.register(spark)
+    folder = write_log(spark, sf_dir)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW tideline_log USING jsonlog OPTIONS (path '{folder}', `scan.startup.mode` 'earliest-offset')")
+    return spark.sql("SELECT op, count(*) AS n FROM tideline_log WHERE kind = 'data' GROUP BY op")
+
+
+@query("SELECT 'orders' AS table_name, o_orderkey < 5000 AS low, count(*) AS n FROM orders GROUP BY 2 UNION ALL SELECT 'customer', c_custkey::VARCHAR < '5000', count(*) FROM customer GROUP BY 2")
+def typed_compare(spark, sf_dir):
+    """Keys against a boundary of another type: numbers as numbers, numbers and text as text."""
+    out = []
+    for name, key, bound, kind in (("orders", "o_orderkey", "5000", T.DecimalType(10, 0)), ("customer", "c_custkey", "5000", T.StringType())):
+        rows = table(spark, sf_dir, name)
+        value, both = K.comparable(F.col(key), rows.schema[key].dataType, kind)
+        out.append(rows.groupBy((value < F.lit(bound).cast(both)).alias("low")).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "low", "n"))
+    return out[0].union(out[1])
 
 
 FLAGSHIP = backfill_then_stream_state
