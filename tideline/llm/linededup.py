@@ -40,18 +40,21 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     A key (see line_key) of at least min_chars code points that is found in at least min_docs documents
     loses all its lines, except those in the document with the largest id that holds it.
 
-    A row is a document: repeated rows count one by one, and each row with the largest id keeps its lines.
-    A null text is an empty line; a null id is never the largest, and if a key has null ids only, all its
-    lines stay. No rows in, no rows out. Input columns named n_lines or n_dropped are replaced; all others stay.
-
-    Lines are grouped by 128 bits of hash. Counting combines on the map side, so that a line that a third of all
-    documents share costs a row for each task. Shared keys are written to the shared folder, so that their join with
-    the lines is one of two plain tables, whose hot partitions adaptive execution splits. Only hashes and positions are shuffled for it; the texts move once,
-    by row key, to meet their lists of dropped positions.
+    Documents are told apart by id: rows that share one, repeated or not, count once, and each row with the largest
+    id keeps its lines. A null text is an empty line; rows without an id are no documents to count, but lose lines as
+    others do. A very long text is one row, whose lines must fit in a task. No rows in, no rows out. Input columns
+    named n_lines or n_dropped are replaced; all others stay, those that begin with two underscores excepted.
+
+    Lines are grouped by 128 bits of hash. Documents are counted in two steps, (key, id) and then key, both combining on
+    the map side, so that a line that a third of all documents share is spread by id first and then costs a row for
+    each task. Shared keys are written to the shared folder, so that their join with the lines is one of two plain
+    tables, whose hot partitions adaptive execution splits. Only hashes and positions are shuffled for it; the texts
+    move once, by row key, to meet their lists of dropped positions.
     """
     keyed = _keyed(with_row_key(docs, id_col, text_col), text_col, min_chars)
     once = keyed.select(F.col(id_col).alias("__id"), F.explode(F.array_distinct(F.transform("__keys", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))).alias("k"))
-    shared = cut(once.groupBy(F.col("k.a").alias("a"), F.col("k.b").alias("b")).agg(F.count("*").alias("n"), F.max("__id").alias("__keeper")).where(F.col("n") >= min_docs).drop("n"))
+    holders = once.where("__id IS NOT NULL").select("k.a", "k.b", "__id").distinct()
+    shared = cut(holders.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("__id").alias("__keeper")).where(F.col("n") >= min_docs).drop("n"))
     lines = keyed.select(*ROW, F.col(id_col).alias("__id"), F.explode("__keys").alias("k")).select(*ROW, "__id", "k.pos", "k.a", "k.b")
     dropped = lines.join(shared, ["a", "b"]).where(~F.col("__id").eqNullSafe(F.col("__keeper"))).groupBy(*ROW).agg(F.collect_set("pos").alias("__dropped"))
     both = with_row_key(docs, id_col, text_col).join(dropped, ROW, "left")
