@@ -18,7 +18,7 @@ def mark_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     has none. n_hit counts the document's words inside any occurrence of any window, each once; items are those with
     a window that occurs; contaminated is n_hit > 0. The words are those of _native.words.
 
-    A null or empty text has no words. Items with equal windows are all named; a null item_id is not named, but its
+    A null or empty text has no words; a very long one is one row, whose words must fit in a task. Items with equal windows are all named; a null item_id is not named, but its
     windows hit. Repeated rows get the same results. An empty table of items marks nothing. Input columns named as
     the results are replaced.
     """

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm._native import ROW, let, words
+from tideline.llm._shared import cut
 
-#: Word sequences up to this number, of at most LONGEST words, are broadcast; more are joined by shuffle.
-BROADCAST_WINDOWS = 200_000
+#: Word sequences and their items of up to so many bytes are broadcast; larger tables are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def windows_of(items: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
@@ -29,15 +30,22 @@ def occurrences(keyed: DataFrame, text_col: str, windows: DataFrame) -> DataFram
     text are then verified against its words, one by one.
     """
     windows = windows.withColumn("phrase", F.array_join("win", " ")).withColumn("n", F.size("win"))
-    bounded = windows.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
+    width = F.octet_length("phrase") + F.octet_length(F.array_join("items", " ")) + 16 * F.col("n") + 64
+    bounded = (windows.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
     small = F.broadcast if bounded else lambda df: df
     token = windows.select("phrase", F.posexplode("win").alias("at", "word"))
     vocabulary = token.select("word").distinct()
     every = keyed.select(*ROW, words(F.col(text_col)).alias("w"))
 
-    seen = every.select(F.explode("w").alias("word")).join(small(vocabulary), "word").groupBy("word").agg(F.count("*").alias("seen"))
+    said = every.select(F.explode("w").alias("word"))
+    if bounded:
+        seen = said.join(F.broadcast(vocabulary), "word").groupBy("word").agg(F.count("*").alias("seen"))
+    else:  # counted first, so that a frequent word is a row for each task when it is shuffled
+        seen = said.groupBy("word").agg(F.count("*").alias("seen")).join(vocabulary, "word")
     rarest = token.join(seen, "word", "left").groupBy("phrase").agg(F.min_by(F.struct("word", "at", "seen"), F.struct("seen", "word", "at")).alias("t"), F.count("seen").alias("known"), F.count("*").cast("int").alias("n"))
     rarest = rarest.where(F.col("known") == F.col("n")).select("phrase", "n", F.col("t.word").alias("word"), F.col("t.at").alias("at"))
+    if not bounded:  # a plain table, so that adaptive execution can split the places of a frequent word
+        rarest = cut(rarest)
     places = every.select(*ROW, F.size("w").alias("length"), F.posexplode("w").alias("pos", "word"))
     start = F.col("pos") - F.col("at")
     found = places.join(small(rarest), "word").where((start >= 0) & (start + F.col("n") <= F.col("length"))).select(*ROW, start.alias("start"), "n", "phrase")
