@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -58,7 +59,7 @@ def parse_turns(formatted: Column) -> Column:
 
 @dataclass(frozen=True)
 class Mapping:
-    """How records that hold just these field paths become turns.
+    """How records that hold just these field paths, or some of them and null in the others, become turns.
 
     paths: the leaves that aren't null, by name, an array's elements as []. turns: (role, path) of scalar fields in
     order, or, with `each`, the path of an array of structs whose fields `role` and `text` are the turns. A role that
@@ -72,9 +73,10 @@ class Mapping:
     text: str = ""
     rename: tuple[tuple[str, str], ...] = ()
 
-    @property
-    def fingerprint(self) -> str:
-        return fingerprint_of(self.paths)
+    def fingerprints(self) -> dict[str, int]:
+        """Of records that hold some of the fields, the others being null: each with the number of those that lack."""
+        n = len(self.paths)
+        return {fingerprint_of(some): n - k for k in range(n, 0, -1) for some in itertools.combinations(self.paths, k)}
 
 
 def fingerprint_of(paths) -> str:
@@ -142,28 +144,34 @@ def fingerprint(records: DataFrame, ignore: tuple[str, ...] = ()) -> Column:
 def canonical_turns(records: DataFrame, ignore: tuple[str, ...] = (), mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Returns the records with `layout`, the fingerprint of each, and `turns`, its canonical (role, text) turns.
 
-    Each record is read by the mapping of its own fingerprint. A record of an unknown layout keeps its fingerprint and
-    has null turns: nothing is guessed. A null text within a known layout is an empty one. Empty tables stay empty;
-    repeated rows get the same results; columns in `ignore` (ids, metadata) take no part in the fingerprint. Input
-    columns named as the results are replaced.
+    Each record is read by the mapping of its own fingerprint. Where a field of a layout is null its path is not in the
+    fingerprint; the record is of the mapping that lacks the fewest paths so, the first of several, and a null text is
+    an empty one. All fields of a mapping must be in the schema. A record of an unknown layout, or with nothing but
+    nulls, keeps its fingerprint and has null turns: nothing is guessed. A very long text is one turn. Empty tables
+    stay empty; repeated rows get the same results; columns in `ignore` (ids, metadata) take no part in the
+    fingerprint. Input columns named as the results are replaced.
     """
     ignore = (*ignore, *(c for c in records.columns if c.startswith("__")))
     leaves = {p for p, _ in _leaves(records.schema)}
+    usable = [m for m in mappings if set(m.paths) <= leaves]
+    chosen: dict[str, tuple[int, int]] = {}
+    for i, m in enumerate(usable):
+        for print_, lacking in m.fingerprints().items():
+            chosen[print_] = min(chosen.get(print_, (lacking, i)), (lacking, i))
     turns = F.lit(None).cast(TURNS)
-    for m in mappings:
-        if not set(m.paths) <= leaves:
-            continue
+    for i, m in enumerate(usable):
         if m.each:
             value = F.transform(F.col(m.each), _message(m))
         else:
             value = F.array(*(F.struct(F.lit(role).alias("role"), F.array_join(F.array(*(F.col(p) for p in path.split("\n"))), "\n").alias("text")) for role, path in m.turns))
-        turns = F.when(F.col("__layout") == m.fingerprint, value.cast(TURNS)).otherwise(turns)
+        mine = sorted(f for f, (_, k) in chosen.items() if k == i)
+        turns = F.when(F.col("__layout").isin(mine), value.cast(TURNS)).otherwise(turns)
     out = records.withColumn("__layout", fingerprint(records, ignore))
     return replace_columns(out, {"layout": F.col("__layout"), "turns": turns})
 
 
 def format_chats(records: DataFrame, ignore: tuple[str, ...] = (), mappings: tuple[Mapping, ...] = MAPPINGS, loss_role: str = "assistant") -> DataFrame:
-    """canonical_turns() with `formatted`, the turns as one text; null where the layout is unknown."""
+    """canonical_turns() with `formatted`, the turns as one text; null where the layout is unknown. All else as there."""
     out = canonical_turns(records, ignore, mappings)
     return replace_columns(out, {"formatted": format_turns(F.col("turns"), loss_role)})
 
@@ -177,3 +185,27 @@ def conversations_as_records(rows: DataFrame, id_col: str = "conv_id", turn_col:
     message = F.struct(F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     grouped = rows.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(F.col(turn_col).isNotNull().alias("known"), F.coalesce(F.col(turn_col), F.lit(0)).alias("turn"), message.alias("m")))).alias("t"))
     return grouped.select(id_col, F.transform("t", lambda x: x["m"]).alias("messages"))
+
+
+def delivered(records: DataFrame) -> DataFrame:
+    """Records of messages (role, text) in the layouts in which different sources deliver chats; each has its own fields, others are null.
+
+    A question and its answer are prompt and response, with a system turn before them system too; chats between those
+    roles that begin with the assistant are conversations of from and value; all others stay messages.
+    """
+    roles = F.transform("messages", lambda m: m["role"])
+    pair = roles == F.array(F.lit("user"), F.lit("assistant"))
+    triple = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
+    plain = (F.get(roles, F.lit(0)) == "assistant") & F.forall(roles, lambda r: r.isin("system", "user", "assistant"))
+
+    def text(at: int) -> Column:
+        return F.get("messages", F.lit(at))["text"]
+
+    return records.select(
+        *(f"`{c}`" for c in records.columns if c != "messages"),
+        F.when(triple, text(0)).alias("system"),
+        F.when(pair, text(0)).when(triple, text(1)).alias("prompt"),
+        F.when(pair, text(1)).when(triple, text(2)).alias("response"),
+        F.when(plain, F.transform("messages", lambda m: F.struct(m["role"].alias("from"), m["text"].alias("value")))).alias("conversations"),
+        F.when(~(pair | triple | plain), F.col("messages")).alias("messages"),
+    )
