@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -89,108 +88,53 @@ def _merges(model: Model) -> list[tuple[str, str]]:
 
 
 def build_tokenizer(model: Model):
-    """The tokenizers.Tokenizer that encodes and decodes as the model does."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    """(tokenizer, normalise): the tokenizers.Tokenizer that encodes normalised texts and decodes as the model does, and the function that normalises.
+
+    A model that only marks spaces is normalised by str.replace, which is much faster than the library's steps.
+    """
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     if any(kind == USER_DEFINED for *_, kind in model.pieces) or model.suffix_mark or not model.escape_spaces:
         raise ValueError("models with user-defined pieces, marks after words or plain spaces are not supported")
     unk = model.pieces[model.unk_id][0]
     if model.kind == BPE:
-        core = models.BPE({p: i for i, (p, _, _) in enumerate(model.pieces)}, _merges(model), unk_token=unk, fuse_unk=True, byte_fallback=model.byte_fallback, cache_capacity=1000)
+        core = models.BPE({p: i for i, (p, _, _) in enumerate(model.pieces)}, _merges(model), unk_token=unk, fuse_unk=True, byte_fallback=model.byte_fallback, cache_capacity=0)
     elif model.kind == UNIGRAM:
         core = models.Unigram([(p, s) for p, s, _ in model.pieces], model.unk_id, model.byte_fallback)
     else:
         raise ValueError(f"models of kind {model.kind} are not supported")
     out = Tokenizer(core)
+    out.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Metaspace(MARK, prepend_scheme="never")])
+    if not model.charsmap and not model.squeeze_spaces:
+        return out, lambda text: (MARK * (model.dummy_prefix and text != "") + text).replace(" ", MARK)
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
     if model.squeeze_spaces:
         steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
     if model.dummy_prefix:
         steps.append(normalizers.Prepend(MARK))
-    out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
-    if not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, _ in model.pieces):
-        # no piece goes on over a mark, so that words can be encoded, and remembered, one by one
-        out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *([decoders.Strip(" ", 1, 0)] if model.dummy_prefix else [])])
-    return out
+    return out, normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)]).normalize_str
 
 
-#: Words whose ids a worker remembers; beyond it, it starts anew. So many are encoded in a call.
-REMEMBERED, AT_ONCE = 100_000, 10_000
 #: Rows of a batch that are worked on at once.
 SLICE = 256
 
 
 class Codec:
-    """Encodes and decodes batches of texts by a tokenizer built of a model.
-
-    Where no piece of the model goes on over a mark, each word of a batch that isn't known yet is encoded once, all of
-    them in one multithreaded call, and texts are put together of their words' ids. Else whole texts are encoded.
-    """
+    """Encodes and decodes batches of whole texts by a tokenizer built of a model, each batch in one multithreaded call."""
 
     def __init__(self, data: bytes):
         self.model = parse_model(data)
-        self.tokenizer = build_tokenizer(self.model)
-        self.by_word = self.tokenizer.pre_tokenizer is not None
-        self.normalizer = self.tokenizer.normalizer
-        self.plain = not self.model.charsmap and not self.model.squeeze_spaces
-        if self.by_word:
-            self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
-        self.words: dict[str, bytes] = {}
-        self.differ: set[str] = set()
-        self.split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
-        #: What a piece decodes to; None where that depends on its neighbours.
-        self.text_of = np.empty(len(self.model.pieces), dtype=object)
-        for i, (piece, _, kind) in enumerate(self.model.pieces):
-            byte = int(piece[3:5], 16) if kind == BYTE else None
-            self.text_of[i] = piece.replace(MARK, " ") if byte is None else chr(byte) if byte < 128 else None
-
-    def normalize(self, text: str) -> str:
-        if not self.plain:
-            return self.normalizer.normalize_str(text)
-        return (MARK * (self.model.dummy_prefix and text != "") + text).replace(" ", MARK)
-
-    def learn(self, new: list[str], library) -> None:
-        """Encodes words, and compares each, as the text that it alone would be, with the sentencepiece library."""
-        skip = int(self.model.dummy_prefix)
-        for at in range(0, len(new), AT_ONCE):
-            part = new[at : at + AT_ONCE]
-            coded = [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self.words.update(zip(part, coded, strict=True))
-            if library:
-                checked = [w for w in part if len(w) > skip]  # a mark alone has one encoding
-                alone = library.encode([w[skip:].replace(MARK, " ") for w in checked], num_threads=1)
-                self.differ.update(w for w, ids in zip(checked, alone, strict=True) if self.words[w] != np.array(ids, "<i4").tobytes())
-
-    def encode(self, texts: list[str], library=None) -> tuple[list[bytes], list[bool | None]]:
-        """The ids of each text, as 32-bit little-endian integers, and, given the library's processor, whether it has the same.
-
-        Words are compared as they are learned; whole texts are where they are encoded whole.
-        """
-        if not self.by_word:
-            coded = [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return coded, [x == np.array(y, "<i4").tobytes() for x, y in zip(coded, library.encode(texts, num_threads=1), strict=True)] if library else [None] * len(texts)
-        coded, same = [], []
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        split = [self.split(self.normalize(t)) for t in texts]
-        self.learn(list({w for words in split for w in words if w not in self.words}), library)
-        known, differ = self.words, self.differ
-        for words in split:
-            coded.append(b"".join([known[w] for w in words]))
-            same.append(not differ or differ.isdisjoint(words) if library else None)
-        return coded, same
-
-    def decode(self, coded: list[bytes]) -> list[str]:
-        out = []
-        for data in coded:
-            ids = np.frombuffer(data, "<i4")
-            try:
-                text = "".join(self.text_of[ids].tolist())
-                out.append(text[1:] if self.model.dummy_prefix and text.startswith(" ") else text)
-            except TypeError:  # bytes of longer characters
-                out.append(self.tokenizer.decode(ids.tolist(), skip_special_tokens=False))
-        return out
+        self.tokenizer, self.normalize = build_tokenizer(self.model)
+
+    def encode(self, texts: list[str], library=None) -> tuple[list[list[int]], list[bool | None]]:
+        """The ids of each text and, given the library's processor, whether it has the same for the text as it stands."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([self.normalize(t) for t in texts], add_special_tokens=False)]
+        return ids, [x == y for x, y in zip(ids, library.encode(texts, num_threads=1), strict=True)] if library else [None] * len(texts)
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        """The texts of ids; the space of the mark that was put before a text goes."""
+        texts = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return [t[1:] if t.startswith(" ") else t for t in texts] if self.model.dummy_prefix else texts
 
 
 @functools.lru_cache(maxsize=2)
@@ -214,14 +158,14 @@ def encode_documents(docs: DataFrame, model: bytes, text_col: str = "text", veri
     """Returns the documents with n_tokens, token_ids, ids_sha256, decoded, round_trip and parity.
 
     token_ids are those of the whole text, without added ones; decoded is what they decode to; round_trip is whether
-    that is the text; ids_sha256 is the lowercase hex digest of the ids as 32-bit little-endian
-    integers. With verify, parity
-    is whether the sentencepiece library gives the same ids (see Codec.encode), else null. Without ids, token_ids and decoded are left
-    out, and decoded_sha256 stands for the latter.
+    that is the text; ids_sha256 is the lowercase hex digest of the ids as 32-bit little-endian integers. With verify,
+    parity is whether the sentencepiece library gives the same ids for the whole text, else null. Without ids,
+    token_ids and decoded are left out, and decoded_sha256 stands for the latter.
 
     Batches are encoded by as many threads as the worker may use. Null and empty texts have no tokens and decode to
-    an empty text; a null's round_trip is that of an empty one. Equal texts give equal results. Empty tables stay
-    empty. Input columns named as the results are replaced. The model (some hundred kilobytes) goes with the tasks.
+    an empty text; a null's round_trip is that of an empty one. A very long text is encoded whole, and must fit in a
+    task with its ids. Equal texts, repeated rows too, give equal results. Empty tables stay empty. Input columns named
+    as the results are replaced. The model (some hundred kilobytes) goes with the tasks.
     """
     results = [("n_tokens", T.LongType())]
     results += [("token_ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType())] if ids else [("decoded_sha256", T.StringType())]
@@ -236,8 +180,8 @@ def encode_documents(docs: DataFrame, model: bytes, text_col: str = "text", veri
         codec = _ready(model)
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
-            coded, same = codec.encode(texts, _library(model) if verify else None)
-            back = codec.decode(coded)
+            found, same = codec.encode(texts, _library(model) if verify else None)
+            back, coded = codec.decode(found), [np.array(x, "<i4").tobytes() for x in found]
             ends = np.cumsum([0, *(len(x) // 4 for x in coded)])
             columns = [pa.array(np.diff(ends), pa.int64())]
             if ids:
