@@ -162,14 +162,19 @@ def read_avi(data: bytes) -> Video:
 # --- shots ---
 
 
-def find_shots(frames: np.ndarray) -> list[tuple[int, int]]:
-    """(first, last + 1) frames of each shot, by differences of histograms against their recent mean and deviation."""
+def histograms(frames: np.ndarray) -> np.ndarray:
+    """The share of each bin in each frame, in samples."""
     n = len(frames)
+    bins = (frames.reshape(n, -1) >> np.uint8(8 - BINS.bit_length() + 1)).astype(np.int64) + BINS * np.arange(n)[:, None]
+    return np.bincount(bins.ravel(), minlength=n * BINS).reshape(n, BINS)
+
+
+def find_shots(hist: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last + 1) frames of each shot, by differences of histograms against their recent mean and deviation."""
+    n = len(hist)
     if not n:
         return []
-    bins = (frames.reshape(n, -1) >> np.uint8(8 - BINS.bit_length() + 1)).astype(np.int64) + BINS * np.arange(n)[:, None]
-    hist = np.bincount(bins.ravel(), minlength=n * BINS).reshape(n, BINS)
-    diff = np.abs(np.diff(hist, axis=0)).sum(axis=1) / (2 * FRAME)
+    diff = np.abs(np.diff(hist / np.maximum(1, hist.sum(axis=1, keepdims=True)), axis=0)).sum(axis=1) / 2
     cuts = [0]
     one, two = np.concatenate([[0], np.cumsum(diff)]), np.concatenate([[0], np.cumsum(diff * diff)])
     at = np.arange(len(diff))
@@ -181,6 +186,10 @@ def find_shots(frames: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(cuts, [*cuts[1:], n], strict=True))
 
 
+def timed(shots: list[tuple[int, int]], rate: float) -> list[dict]:
+    return [{"shot": i, "first_frame": a, "n_frames": b - a, "start_s": a / rate, "end_s": b / rate} for i, (a, b) in enumerate(shots)]
+
+
 CLIP = T.StructType([T.StructField(n, T.LongType()) for n in ("shot", "first_frame", "n_frames")] + [T.StructField(n, T.DoubleType()) for n in ("start_s", "end_s")])
 RESULT = {
     "n_bytes": T.LongType(), "payload_bytes": T.LongType(), "payload_sha256": T.StringType(), "tail_crc32": T.LongType(),
@@ -195,8 +204,8 @@ def _work(text: str | None) -> tuple:
     video = read_avi(media)
     frames = decode_frames(video.jpegs)
     back = frames.tobytes()[: video.payload_bytes]
-    shots = find_shots(frames)
-    clips = [{"shot": i, "first_frame": a, "n_frames": b - a, "start_s": a / video.rate, "end_s": b / video.rate} for i, (a, b) in enumerate(shots)]
+    shots = find_shots(histograms(frames))
+    clips = timed(shots, video.rate)
     feature = f"frames={len(frames)};shots={len(shots)};mean={int(np.frombuffer(back, np.uint8).sum(dtype=np.int64)) * 1000 // len(back)};cuts={zlib.crc32(repr(shots).encode()):08x}"
     return len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature, clips, media
 
@@ -210,8 +219,9 @@ def store_as_video(docs: DataFrame, text_col: str = "text", results: tuple[str,
     shots, and a feature string (frames, shots, mean sample in thousandths, CRC-32 of the shots). Choose media only
     where the files are wanted; they take twice the text's size.
 
-    A null text is an empty one, of one payload of 64 bytes 0. Equal texts give equal results. A text of any length
-    is one file. Empty tables stay empty. Input columns named as the results are replaced.
+    A null text is an empty one, of one payload of 64 bytes 0. Equal texts, repeated rows too, give equal results. A
+    text is one file, which must fit in a task; sizes in it have 32 bits, so that beyond 2 GiB of text, which no column
+    holds, an error is raised. Empty tables stay empty. Input columns named as the results are replaced.
     """
     keep = [f for f in docs.schema.fields if f.name.lower() not in results]
     names = [f.name for f in keep]
@@ -235,6 +245,48 @@ def store_as_video(docs: DataFrame, text_col: str = "text", results: tuple[str,
 
 
 def clip_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """One row for each shot of each document's video: the document's columns and those of CLIP."""
-    out = store_as_video(docs, text_col, ("clips",))
+    """One row for each shot of each document's video (see store_as_video): the document's columns and those of CLIP, which replace columns of their names."""
+    keep = [c for c in docs.columns if c.lower() not in {f.name for f in CLIP.fields}]
+    out = store_as_video(docs.select(*(f"`{c}`" for c in keep)), text_col, ("clips",))
     return out.select("*", F.inline("clips")).drop("clips")
+
+
+def _shots_of(media: bytes | None) -> tuple[int, list[dict], str | None]:
+    """(frames, clips, error) of a file; frames are decoded one by one, and only their histograms kept."""
+    from tideline.llm.jpeg import UnknownJpeg, first_component
+
+    if media is None:
+        return 0, [], None
+    try:
+        video = read_avi(media)
+        hist = np.concatenate([histograms(first_component(j)[None]) for j in video.jpegs]) if video.jpegs else np.empty((0, BINS))
+    except (UnknownJpeg, ValueError, IndexError, struct.error) as e:
+        return 0, [], str(e) or "not an AVI file"
+    return len(hist), timed(find_shots(hist), video.rate), None
+
+
+def find_clips(files: DataFrame, media_col: str = "media") -> DataFrame:
+    """Returns the rows with n_frames, clips (an array of CLIP) and error, of AVI motion-JPEG files of any writer.
+
+    RIFF lists are parsed, frames found by the index, or in file order without one, and decoded: baseline and extended
+    Huffman frames of one or more components, with the standard tables where a frame has none, and lossless ones, of
+    eight bits and any size. Shots are found in the first component. A null file has no frames and no clips; a file
+    that isn't AVI, is damaged, or holds frames of other kinds (progressive, arithmetic) has none either, and error
+    says why. A very large file is one row and must fit in a task, though its decoded frames needn't. Repeated rows
+    get the same results, empty tables stay empty, input columns named as the results are replaced.
+    """
+    taken = {"n_frames", "clips", "error"}
+    keep = [f for f in files.schema.fields if f.name.lower() not in taken]
+    names = [f.name for f in keep]
+
+    def apply(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        for batch in batches:
+            rows = [_shots_of(x.as_py()) for x in batch.columns[-1]]
+            columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], to_arrow_type(T.ArrayType(CLIP))), pa.array([r[2] for r in rows], pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*names, "n_frames", "clips", "error"])
+
+    schema = T.StructType([*keep, T.StructField("n_frames", T.LongType()), T.StructField("clips", T.ArrayType(CLIP)), T.StructField("error", T.StringType())])
+    return map_batches(files.select(*[f"`{x}`" for x in names], F.col(media_col).alias("__media")), apply, schema)
