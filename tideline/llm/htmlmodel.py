@@ -22,9 +22,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img picture".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+KNOWN = RAW | VOID | INLINE | ENDS_P | frozenset("html body tbody thead tfoot tr td th caption colgroup li dt dd button label legend option optgroup output meter progress summary dialog center font video audio map search slot".split())
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+#: Attributes by the grammar of HTML: quotes only open a value, so that an apostrophe within an unquoted one ends nothing.
+_VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)"""
+_ATTRS = rf"""(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+{_VALUE}?+)?+|=)*+"""
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRS})(?:>|\Z)", re.S)
+#: What follows a name that isn't one of HTML's, if this is a comparison in a text and no tag: words without values.
+PROSE = re.compile(r"(?:\s+[^\s/>=\"']+)+\s*")
 #: Ends of raw elements: nothing before them is markup, whatever it looks like.
 RAW_END = {tag: re.compile(rf"</{tag}(?:[\s/][^>]*)?(?:>|\Z)", re.I | re.A) for tag in RAW}
 NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -103,6 +109,10 @@ def parse(source: str) -> Page:
 
     while m := TAG.search(source, at):
         tag = (m[2] or "").lower()
+        if tag and not m[1] and tag.isalnum() and tag not in KNOWN and PROSE.fullmatch(m[3]):
+            text(m.start(2))  # x <y and z> w
+            at = m.start(2)
+            continue
         text(m.start())
         at = m.end()
         if not tag:
@@ -274,8 +284,13 @@ def labelled_page(rng: random.Random) -> str:
             ]
         )()
 
-    def article() -> str:
-        parts = [el("h1", words(2, 12), 1)] if rng.random() < 0.8 else []
+    def article(short: bool) -> str:
+        title = el("h1", words(2, 12), 1)
+        if rng.random() < 0.15:
+            title = el("header", title + pick("", el("p", words(2, 12), 1)), 1, pick("", "entry-header"))
+        parts = [title] if rng.random() < (0.4 if short else 0.8) else []
+        if short:
+            return "".join([*parts, *(el("p", words(1, rng.choice([3, 12, 40])), 1) for _ in range(rng.randint(1, 3)))])
         for _ in range(rng.randint(1, 14)):
             parts.append(
                 rng.choices(
@@ -294,14 +309,15 @@ def labelled_page(rng: random.Random) -> str:
             )
         return "".join(parts)
 
-    root = rng.choice(["article", "article", "div", "main", "section"])
-    name = pick("", "post", "entry-content") if root == "article" else pick("content", "post", "entry", "story", "article-body", "main-content")
-    middle = el(root, article(), 1, name)
+    root, short = rng.choice(["article", "article", "div", "main", "section"]), rng.random() < 0.35
+    name = pick("", "post", "entry-content") if root in ("article", "main") else pick("", "", "content", "post", "entry", "story", "article-body", "main-content")
+    middle = el(root, article(short), 1, name)
     if rng.random() < 0.3:
         middle = el(pick("div", "main"), middle + "".join(boilerplate() for _ in range(rng.randint(0, 2))), 0, pick("", "wrap", "page", "main"))
-    before = "".join(boilerplate() for _ in range(rng.randint(0, 4)))
-    after = "".join(boilerplate() for _ in range(rng.randint(0, 4)))
-    return el("html", el("body", before + middle + after, 0), 0)
+    most = rng.choice([0, 4, 4, 4])
+    before = "".join(boilerplate() for _ in range(rng.randint(0, most)))
+    after = "".join(boilerplate() for _ in range(rng.randint(0, most)))
+    return middle if not before + after and rng.random() < 0.5 else el("html", el("body", before + middle + after, 0), 0)
 
 
 def labelled_pages(n: int, seed: int = 7) -> list[Page]:
@@ -316,19 +332,29 @@ def labelled_pages(n: int, seed: int = 7) -> list[Page]:
 
 @functools.lru_cache(maxsize=1)
 def default_model() -> tuple[np.ndarray, np.ndarray]:
-    """The model of 300 made-up pages, the same each time."""
-    return fit(labelled_pages(300))
+    """The model of 400 made-up pages, the same each time."""
+    return fit(labelled_pages(400))
 
 
 # --- extraction ---
 
 SPACES = re.compile(r"\s+")
+#: Where no text of a page has a marginal above one half, what has more than this is taken: menus and the like stay far below it.
+LEAST = 0.25
 
 
 def extract(pages: list[Page], model: tuple[np.ndarray, np.ndarray]) -> list[str]:
     """The main text of each page: segments whose node is content, put together by blocks."""
     x, parent, edge, levels = _forest(pages)
-    content = (_sum_product(x @ model[0], model[1], parent, edge, levels)[0] > 0.5).tolist() if pages else []
+    p = _sum_product(x @ model[0], model[1], parent, edge, levels)[0] if pages else np.empty(0)
+    content, base = (p > 0.5).tolist(), 0
+    for page in pages:
+        own = slice(base, base + len(page.parent))
+        if len(page.parent) == 1:  # text without any element
+            content[base] = True
+        elif not (p[own][np.array(page.chars) > 0] > 0.5).any():
+            content[own] = (p[own] > LEAST).tolist()
+        base += len(page.parent)
     out, base = [], 0
     for page in pages:
         blocks: dict[int, list[str]] = {}
@@ -346,8 +372,9 @@ def extract_text(pages: DataFrame, html_col: str = "html", model: tuple[np.ndarr
 
     Every element is a node with a state, content or not. Its tag, its names, its text and links give a potential,
     each edge from parent to child another by the child's kind; messages up and down the tree give the marginals, and
-    text of nodes above one half is kept. Scripts, styles, titles and markup are no text. Character references are
-    decoded; white space in a block, <br> too, becomes one space.
+    text of nodes above one half is kept, or, on a page without any, of nodes above LEAST. Scripts, styles, titles and markup are no text. Character references are
+    decoded; white space in a block, <br> too, becomes one space. A "<" before a name that HTML doesn't know and words
+    without values is text, as in "x <y and z> w". A page without any element is its own text.
 
     A null or empty page, or one without content, has an empty text. Pages of any length are taken whole. Repeated
     rows get the same results. Empty tables stay empty. Input columns named as the results are replaced.
