@@ -66,11 +66,29 @@ def pack(record: bytes) -> bytes:
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
 
 
+class FileBytes:
+    """A file's bytes by slices, of which one block is held: a reader that steps over payloads doesn't read them all."""
+
+    def __init__(self, file, block: int = 1 << 20):
+        self.file, self.size, self.block, self.start, self.held = file, file.size(), block, 0, b""
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, key):
+        if isinstance(key, int):
+            return self[key : key + 1][0]
+        start, stop, _ = key.indices(self.size)
+        if not self.start <= start <= stop <= self.start + len(self.held):
+            self.start, self.held = start, self.file.read_at(max(self.block, stop - start), start)
+        return self.held[start - self.start : max(start, stop) - self.start]
+
+
 class Members:
     """The gzip members of a file's bytes: (headers, rest) of each record, where rest() inflates what follows the headers."""
 
-    def __init__(self, data: bytes | memoryview):
-        self.data = memoryview(data)
+    def __init__(self, data: bytes | FileBytes):
+        self.data = data
 
     def __iter__(self) -> Iterator[tuple[dict[str, str], object]]:
         data, at = self.data, 0
@@ -166,7 +184,8 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
     Of records with equal payloads of at least min_revisit bytes, that with the largest id is a response, the others
     revisit it. A null html is an empty payload; a row with a null id has a record but is never revisited; repeated
-    rows with the largest id are responses each. An empty table writes no records. Other input columns are not
+    rows with the largest id are responses each. A very long html is one
+    record, which must fit in a task. An empty table writes no records. Other input columns are not
     written. A task writes a file under a name of its own and moves it in place, so tasks can be repeated. Digests,
     not payloads, are grouped to find the keepers.
     """
@@ -252,27 +271,27 @@ class WarcReader(DataSourceReader):
 
         for path in partition.files:
             with store.open_input_file(path) as f:
-                data = f.read_buffer()
-            for headers, rest in Members(data) if path.endswith(".gz") else _plain(data):
-                if not self.wanted(headers):
-                    continue
-                row = {k: headers.get(h) for k, h in HEADERS.items()}
-                row["header_length"] = int(row["header_length"]) if row["header_length"] else None
-                if decode and row["record_type"] == "response":
-                    payload = payload_of(rest(), int(headers["content-length"]))
-                    row |= {"payload_digest": hashlib.sha1(payload).hexdigest(), "payload_length": len(payload), "payload": payload if "payload" in decode else None}
-                    size += len(payload) if "payload" in decode else 0
-                rows.append(row)
-                if len(rows) >= 4096 or size >= BATCH_BYTES:
-                    yield batch()
-                    rows, size = [], 0
+                data = FileBytes(f)
+                for headers, rest in Members(data) if path.endswith(".gz") else _plain(data):
+                    if not self.wanted(headers):
+                        continue
+                    row = {k: headers.get(h) for k, h in HEADERS.items()}
+                    row["header_length"] = int(row["header_length"]) if row["header_length"] else None
+                    if decode and row["record_type"] == "response":
+                        payload = payload_of(rest(), int(headers["content-length"]))
+                        row |= {"payload_digest": hashlib.sha1(payload).hexdigest(), "payload_length": len(payload), "payload": payload if "payload" in decode else None}
+                        size += len(payload) if "payload" in decode else 0
+                    rows.append(row)
+                    if len(rows) >= 4096 or size >= BATCH_BYTES:
+                        yield batch()
+                        rows, size = [], 0
         if rows:
             yield batch()
 
 
 def _plain(data) -> Iterator[tuple[dict[str, str], object]]:
     """As Members, of an archive that isn't compressed."""
-    data, at = memoryview(data), 0
+    at = 0
     while at < len(data):
         end = at
         head = b""
@@ -319,6 +338,8 @@ def read_warc(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def archive(pages: DataFrame, **options) -> tuple[str, int]:
-    """write_warc() into a new folder of the shared one: (folder, records)."""
+    """write_warc() into a new folder of the shared one, which goes when the driver's process ends: (folder, records). All else as there."""
     folder = f"{shared_folder(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    where = pages.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(pages.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(where)
     return folder, write_warc(pages, folder, **options)
