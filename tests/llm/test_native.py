@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import chatformat as C
 from tideline.llm.decontaminate import mark_contamination
-from tideline.llm.licenses import scan_licenses
+from tideline.llm.licenses import TEMPLATES, scan_licenses
 from tideline.llm.linededup import drop_repeated_lines
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -36,7 +36,7 @@ def brute_lines(rows, min_chars=40, min_docs=5):
     for i, text in rows:
         for k in {key(x) for x in (text or "").split("\n")}:
             holders[k].append(i)
-    shared = {k: max(h) for k, h in holders.items() if len(k) >= min_chars and len(h) >= min_docs}
+    shared = {k: max(h) for k, h in holders.items() if len(k) >= min_chars and len(set(h)) >= min_docs}
     out = {}
     for i, text in rows:
         lines = (text or "").split("\n")
@@ -61,11 +61,14 @@ def test_line_dedup_matches_brute_force(spark):
 def test_line_dedup_edge_cases(spark):
     line = "A line that stands in a good many documents, here"
     rows = [(i, line, 5, "e") for i in range(4)] + [(3, line, 5, "e"), (None, line, 5, "e")]
+    four = drop_repeated_lines(frame(spark, rows, DOC + ", n_lines int, extra string"))  # rows that share an id, or have none, are no further documents
+    assert {r.n_dropped for r in four.collect()} == {0} and drop_repeated_lines(frame(spark, [(1, line)] * 4 + [(2, line)])).where("n_dropped > 0").count() == 0
+    rows.append((-1, line, 5, "e"))
     df = frame(spark, rows, DOC + ", n_lines int, extra string")
     out = drop_repeated_lines(df)
     assert out.columns == ["doc_id", "extra", "text", "n_lines", "n_dropped"]
-    got = sorted((r.doc_id if r.doc_id is not None else -1, r.text, r.n_dropped) for r in out.collect())
-    assert got == [(-1, "", 1), (0, "", 1), (1, "", 1), (2, "", 1), (3, line, 0), (3, line, 0)]
+    got = sorted((r.doc_id if r.doc_id is not None else -2, r.text, r.n_dropped) for r in out.collect())
+    assert got == [(-2, "", 1), (-1, "", 1), (0, "", 1), (1, "", 1), (2, "", 1), (3, line, 0), (3, line, 0)]
     assert drop_repeated_lines(frame(spark, [])).count() == 0
     long = "\n".join(f"{i} {'y' * 50}" for i in range(5000))
     assert {r.n_dropped for r in drop_repeated_lines(frame(spark, [(i, long) for i in range(6)])).collect()} == {0, 5000}
@@ -111,6 +114,8 @@ def test_contamination_edge_cases(spark):
     docs = frame(spark, [(1, "a b", 7), (1, "a b", 7), (None, "a b", 7)], DOC + ", n_hit int")
     items = frame(spark, [(3, "A b"), (None, "b")], "item_id long, text string")
     assert [(r.n_hit, r["items"]) for r in mark_contamination(docs, items).collect()] == [(2, ["3"])] * 3
+    long = mark_contamination(frame(spark, [(1, "x " * 300_000 + "a b " + "y " * 10)]), items).first()
+    assert (long.n_words, long.n_hit, long["items"]) == (300_012, 2, ["3"])
     none = mark_contamination(docs, items.limit(0))
     assert {(r.n_hit, r.contaminated) for r in none.collect()} == {(0, False)}
     assert mark_contamination(docs.limit(0), items).count() == 0
@@ -119,8 +124,8 @@ def test_contamination_edge_cases(spark):
 def test_contamination_by_shuffle(spark, monkeypatch):
     from tideline.llm import phrases
 
-    monkeypatch.setattr(phrases, "BROADCAST_WINDOWS", 0)
-    docs, items = [(i, "p q r s t" if i % 2 else "p q") for i in range(20)], [(1, "q r s")]
+    monkeypatch.setattr(phrases, "BROADCAST_BYTES", 0)
+    docs, items = [(i, "p q r s t" if i % 2 else "p q") for i in range(20)] + [(20, "q " * 3000 + "q r s")], [(1, "q r s"), (2, "q q"), (3, None)]
     got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in mark_contamination(frame(spark, docs), frame(spark, items, "item_id long, text string")).collect()}
     assert got == brute_contamination(docs, items)
 
@@ -142,11 +147,15 @@ def test_licenses(spark):
     got = {r.doc_id: r for r in scan_licenses(frame(spark, rows)).collect()}
     assert [p.start for p in got[1].places if p.base] == [2, 6] and got[1].base_labels == "mit"
     assert got[2].base_labels == "cc-by,gpl" and got[2].labels == "cc-by,cc-by-nc,gpl"
-    assert got[3].base_labels == "" and got[3].labels == "mit" and got[3].score == 1.0
+    assert got[3].base_labels == "" and got[3].labels == "mit" and got[3].score == round(13 / 17, 6) and got[1].score == round(2 / 6, 6)
     assert (got[4].n_words, got[4].places, got[4].score) == (0, [], 0.0) == (got[5].n_words, got[5].places, got[5].score)
     assert got[6].labels == "" and got[6].score == 0.0
     assert [p.start for p in got[7].places if p.base] == [50_000]
     assert scan_licenses(frame(spark, [])).count() == 0
+    whole = next(t.wording for t in TEMPLATES if t.label == "mit" and len(t.words) > 100)
+    part = scan_licenses(frame(spark, [(1, f"Copyright me\n{whole}"), (2, whole.replace("merge, publish", "publish")), (3, "charge of free granted hereby")] + [(i, "other words here") for i in range(4, 60)]))
+    score = {r.doc_id: r.score for r in part.collect()}
+    assert score[1] > 0.95 > score[2] > 13 / 17 - 1e-9 and score[3] == 0 == score[4]
     clash = scan_licenses(frame(spark, [(1, "mit license", "x")], DOC + ", labels string"))
     assert clash.columns.count("labels") == 1 and clash.first().labels == "mit"
 
@@ -183,3 +192,20 @@ def test_layouts_are_chosen_by_fingerprint(spark):
     turns = {i: r.turns and [(t.role, t.text) for t in r.turns] for i, r in out.items()}
     assert turns == {1: [("user", "p"), ("assistant", "c")], 2: [("user", "i"), ("assistant", "o")], 3: [("user", "i\nx"), ("assistant", "o")], 4: [("user", "h"), ("assistant", ""), ("odd", "z")], 5: None}
     assert out[1].layout == hashlib.sha256(b"completion\nprompt").hexdigest()
+
+
+def test_null_texts_of_known_layouts_are_empty(spark):
+    schema = "id int, prompt string, completion string, instruction string, output string, messages array<struct<role:string,content:string>>, formatted string"
+    rows = [(1, "p", None, None, None, None, "x"), (2, None, "c", None, None, None, "x"), (3, None, None, None, None, [("user", None), ("assistant", None)], "x"), (4, None, None, None, None, None, "x"), (5, None, None, "i", None, None, "x"), (6, "", None, None, None, None, "x"), (7, "p", None, "i", None, None, "x"), (8, "y" * 300_000, "z", None, None, None, "x"), (8, "y" * 300_000, "z", None, None, None, "x")]
+    df = frame(spark, rows, schema)
+    out = C.format_chats(df, ignore=("id", "formatted"))
+    assert out.columns == ["id", "prompt", "completion", "instruction", "output", "messages", "layout", "turns", "formatted"]
+    got = {r.id: r.t and [(t.role, t.text) for t in r.t] for r in out.select("id", C.parse_turns(F.col("formatted")).alias("t")).collect()}
+    assert got == {1: [("user", "p"), ("assistant", "")], 2: [("user", ""), ("assistant", "c")], 3: [("user", ""), ("assistant", "")], 4: None, 5: [("user", "i"), ("assistant", "")], 6: [("user", ""), ("assistant", "")], 7: None, 8: [("user", "y" * 300_000), ("assistant", "z")]}
+
+
+def test_layouts_that_chats_are_delivered_in(spark):
+    chats = {1: [("user", "a"), ("assistant", "b")], 2: [("system", "s"), ("user", ""), ("assistant", "b")], 3: [("assistant", "x"), ("user", "y")], 4: [("tool", "t"), ("user", "u"), ("assistant", "v")], 5: [("user", "")], 6: [("assistant", "")]}
+    rows = [(i, n, role, text) for i, turns in chats.items() for n, (role, text) in enumerate(turns)]
+    out = C.canonical_turns(C.delivered(C.conversations_as_records(frame(spark, rows, "conv_id long, turn long, role string, text string"))), ignore=("conv_id",)).collect()
+    assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in out} == chats and len({r.layout for r in out}) == 4

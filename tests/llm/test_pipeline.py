@@ -1,6 +1,7 @@
 """The pipeline against a plain composition of its stages, and the registered queries that SQL can't express."""
 
 import hashlib
+import html
 import os
 import random
 import re
@@ -79,6 +80,18 @@ def test_stages_keep_the_columns_of_documents(spark, tables):
         assert stage(spark, docs.limit(0), folder).count() == 0
 
 
+def test_stages_keep_columns_with_names_of_results(spark, tables):
+    folder, rows, *_ = tables
+    docs = spark.createDataFrame([(*r, f"own {r[0]}", -r[0], "x", None, 7) for r in rows[:40]] + [(500, "z " * 200_000, "en", "s", 5, "own 500", -500, "x", None, 7)] * 2, "doc_id long, text string, lang string, source string, n_chars long, score string, n_dropped long, items string, predicted int, rest int").repartition(3)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.dtypes == docs.dtypes and out.where("score <> concat('own ', doc_id) OR n_dropped <> -doc_id OR items <> 'x' OR predicted IS NOT NULL OR rest <> 7").count() == 0
+        assert out.where("doc_id = 500").count() == 2
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert last.columns == ["doc_id", "lang", "source", "n_chars", "score", "n_dropped", "items", "predicted", "rest", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256", "round_trip", "parity"]
+    assert last.where("round_trip AND parity").count() == 42
+
+
 @needs_data
 def test_queries_that_sql_cannot_express(spark):
     q = entry.queries()
@@ -95,6 +108,11 @@ def test_queries_that_sql_cannot_express(spark):
         payload = raw + b"\0" * (-len(raw) % 64 if raw else 64)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
     pages = q["op7_html_extraction"](spark, SF).collect()
+    source = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    for r in pages:
+        inside = re.search(r"<article>(.*?)</article>", source[r.page_id], re.S)[1]
+        blocks = (re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", " ", b))).strip() for b in re.split(r"</?(?:p|h1)>", inside))
+        assert r.text == "\n".join(b for b in blocks if b)
     assert len(pages) == spark.read.parquet(f"{SF}/pages.parquet").count() and all(r.n_chars == len(r.text) > 0 and not re.search(r"<\w+|\n\n", r.text) for r in pages)
 
 

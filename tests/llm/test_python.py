@@ -87,6 +87,63 @@ def test_toxicity_on_held_out_texts(spark):
     assert {r.score for r in X.score_toxicity(docs(spark), prior).collect()} == {0.5}
 
 
+def brute_model(rows, labels):
+    """The classifier written out text by text with dictionaries: buckets, counts, ratios, features, and the same steps of Adam."""
+    import math
+
+    def mixed(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = ((x ^ (x >> shift)) * factor) % 2**64
+        return x ^ (x >> 31)
+
+    def grams(text):
+        data = text.encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256)))
+        return {mixed((int.from_bytes(data[i : i + n], "big") + (n << 56)) % 2**64) >> (64 - X.BUCKET_BITS) for n in X.GRAMS for i in range(len(data) - n + 1)}
+
+    sets = {i: grams(t or "") for i, t in rows}
+    train = [(sets[i], y) for i, y in labels]
+    pos, every = {}, {}
+    for s, y in train:
+        for g in s:
+            every[g] = every.get(g, 0) + 1
+            pos[g] = pos.get(g, 0) + y
+    share, n = sum(y for _, y in train) / len(train), len(train)
+    surety = {g: abs(pos[g] - k * share) / math.sqrt(k * share * (1 - share)) for g, k in every.items() if k >= X.MIN_TEXTS}
+    chosen = sorted(sorted((g for g in surety if surety[g] > 0), key=lambda g: (-surety[g], g))[: X.FEATURES])
+    space = X.SMOOTHING * (1 << X.BUCKET_BITS)
+    p, q = sum(pos.values()) + space, sum(every[g] - pos[g] for g in every) + space
+    ratio = {g: math.log((pos[g] + X.SMOOTHING) / p / ((every[g] - pos[g] + X.SMOOTHING) / q)) for g in chosen}
+    norm = math.sqrt(max(1.0, sum(ratio[g] ** 2 for s, _ in train for g in s if g in ratio) / n))
+    w, prior = dict.fromkeys(chosen, 0.0), (sum(y for _, y in train) + 1) / (n + 2)
+    w["b"] = math.log(prior / (1 - prior))
+    m, v = dict.fromkeys(w, 0.0), dict.fromkeys(w, 0.0)
+    for step in range(1, X.STEPS + 1):
+        g = {k: X.PENALTY / n * x for k, x in w.items()} | {"b": 0.0}
+        for s, y in train:
+            z = sum(ratio[f] / norm * w[f] for f in s if f in ratio) + w["b"]
+            e = (1 / (1 + math.exp(-max(-30, min(30, z)))) - y) / n
+            g["b"] += e
+            for f in s:
+                if f in ratio:
+                    g[f] += ratio[f] / norm * e
+        for k in w:
+            m[k], v[k] = 0.9 * m[k] + 0.1 * g[k], 0.999 * v[k] + 0.001 * g[k] ** 2
+            w[k] -= 0.1 * (m[k] / (1 - 0.9**step)) / (math.sqrt(v[k] / (1 - 0.999**step)) + 1e-9)
+    return {i: 1 / (1 + math.exp(-sum(ratio[g] / norm * w[g] for g in s if g in ratio) - w["b"])) for i, s in sets.items()}
+
+
+def test_toxicity_is_that_of_a_plain_version(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("aeiounrst", k=rng.randint(2, 6))) for _ in range(40)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 14))) + (" Scoundrél" if i % 3 == 0 else "")) for i in range(90)] + [(90, None), (91, ""), (92, "x" * 5000)]
+    labels = [(i, int(i % 3 == 0)) for i in range(60)] + [(4, 1), (90, 0)]
+    text = docs(spark, [t for _, t in rows])
+    model = X.train(text, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in X.score_toxicity(text, model).collect()}
+    want = brute_model(rows, labels)
+    assert set(got) == set(want) and max(abs(got[i] - want[i]) for i in want) < 1e-4
+
+
 def test_a_cap_on_labels_leaves_predictions_nearly_unchanged(spark):
     rng = random.Random(9)
     plain = ["".join(rng.choices("aeiounrst", k=rng.randint(2, 8))) for _ in range(300)]
@@ -123,6 +180,8 @@ def test_sentencepiece_parity_and_round_trip(spark):
         assert out[i].round_trip == (out[i].decoded == (t or ""))
     assert all(out[i].round_trip for i in range(len(TEXTS)))
     assert P.encode_documents(docs(spark).limit(0), data).count() == 0
+    clash = P.encode_documents(docs(spark, ["one two"]).withColumnRenamed("score", "parity").withColumn("extra", F.lit(1)), data)
+    assert clash.columns == ["doc_id", "text", "extra", "n_tokens", "token_ids", "decoded", "ids_sha256", "round_trip", "parity"] and clash.first().parity is True
 
 
 def test_unigram_models_are_rebuilt():
@@ -144,8 +203,8 @@ def test_unigram_models_are_rebuilt():
     data = b"".join(piece(*p) for p in pieces) + field(2, trainer) + field(3, normalizer)
     library = sentencepiece.SentencePieceProcessor(model_proto=data)
     texts = ["ab", "aab b", "a b", "", "abab ba"]
-    coded, same = P.Codec(data).encode(texts, library)
-    assert [np.frombuffer(c, "<i4").tolist() for c in coded] == [library.encode(t) for t in texts] and all(same)
+    ids, same = P.Codec(data).encode(texts, library)
+    assert ids == [library.encode(t) for t in texts] and all(same) and P.Codec(data).decode(ids) == texts
 
 
 # --- media ---
@@ -179,7 +238,7 @@ def test_shots_and_damage():
     rng = np.random.default_rng(0)
     dark, light = rng.integers(0, 60, (20, M.HEIGHT, M.WIDTH)), rng.integers(190, 255, (15, M.HEIGHT, M.WIDTH))
     frames = np.concatenate([dark, light, dark]).astype(np.uint8)
-    assert M.find_shots(frames) == [(0, 20), (20, 35), (35, 55)]
+    assert M.find_shots(M.histograms(frames)) == [(0, 20), (20, 35), (35, 55)]
     data = M.write_avi(frames.tobytes())
     with pytest.raises(ValueError):
         M.read_avi(data[:-100])
@@ -187,6 +246,126 @@ def test_shots_and_damage():
         M.decode_frames([b"\xff\xd8 no frame \xff\xd9"])
 
 
+def baseline_jpeg(planes, sampling, quant, tables=True, restart=0):
+    """A plain encoder of baseline frames: planes of samples, their sampling factors, one quantiser."""
+    from tideline.llm import jpeg as J
+
+    h, v = max(x for x, _ in sampling), max(y for _, y in sampling)
+    height, width = planes[0].shape
+    across, down = -(-width // (8 * h)), -(-height // (8 * v))
+    coders = []
+    for kind in (J.DC_LUMA, J.AC_LUMA):
+        codes, code, k = {}, 0, 0
+        for length, n in enumerate(kind[0], 1):
+            for _ in range(n):
+                codes[kind[1][k]] = (code, length)
+                code, k = code + 1, k + 1
+            code <<= 1
+        coders.append(codes)
+    out, bits = b"", []
+
+    def put(value, length):
+        bits.extend((value >> (length - 1 - i)) & 1 for i in range(length))
+
+    def number(v):
+        n = abs(v).bit_length()
+        put(v if v > 0 else v + (1 << n) - 1, n)
+
+    def flush():
+        nonlocal out
+        bits.extend([1] * (-len(bits) % 8))
+        out += np.packbits(bits).tobytes().replace(b"\xff", b"\xff\x00")
+        bits.clear()
+
+    grids = []
+    for p, (x, y) in zip(planes, sampling, strict=True):
+        full = np.pad(p, ((0, down * 8 * y - p.shape[0]), (0, across * 8 * x - p.shape[1])), mode="edge").astype(float) - 128
+        grids.append(full.reshape(down * y, 8, across * x, 8).transpose(0, 2, 1, 3))
+    last = [0] * len(planes)
+    for mcu in range(across * down):
+        if restart and mcu and mcu % restart == 0:
+            flush()
+            out += bytes([0xFF, 0xD0 + (mcu // restart - 1) % 8])
+            last = [0] * len(planes)
+        r, c = divmod(mcu, across)
+        for i, (x, y) in enumerate(sampling):
+            for b in range(y):
+                for a in range(x):
+                    coef = np.rint(J.BASIS @ grids[i][r * y + b, c * x + a] @ J.BASIS.T / quant).astype(int).ravel()[J.ZIGZAG]
+                    d = int(coef[0]) - last[i]
+                    last[i] = int(coef[0])
+                    put(*coders[0][abs(d).bit_length()])
+                    number(d) if d else None
+                    run = 0
+                    for k in range(1, 64):
+                        if not coef[k]:
+                            run += 1
+                            continue
+                        while run > 15:
+                            put(*coders[1][0xF0])
+                            run -= 16
+                        put(*coders[1][run << 4 | abs(int(coef[k])).bit_length()])
+                        number(int(coef[k]))
+                        run = 0
+                    if run:
+                        put(*coders[1][0])
+    flush()
+
+    def segment(kind, body):
+        return bytes([0xFF, kind]) + (len(body) + 2).to_bytes(2, "big") + body
+
+    head = segment(0xE0, b"AVI1") + segment(0xDB, bytes([0]) + bytes([quant] * 64))
+    sof = bytes([8]) + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([len(planes)])
+    sof += b"".join(bytes([i + 1, x << 4 | y, 0]) for i, (x, y) in enumerate(sampling))
+    if tables:
+        head += b"".join(segment(0xC4, bytes([k << 4]) + t[0] + t[1]) for k, t in ((0, J.DC_LUMA), (1, J.AC_LUMA)))
+    if restart:
+        head += segment(0xDD, restart.to_bytes(2, "big"))
+    sos = bytes([len(planes)]) + b"".join(bytes([i + 1, 0]) for i in range(len(planes))) + bytes([0, 63, 0])
+    return b"\xff\xd8" + head + segment(0xC0, sof) + segment(0xDA, sos) + out + b"\xff\xd9"
+
+
+@pytest.mark.parametrize("sampling", [[(1, 1)], [(2, 2), (1, 1), (1, 1)], [(2, 1), (1, 1), (1, 1)]])
+@pytest.mark.parametrize("restart", [0, 2])
+def test_baseline_frames_of_other_writers(sampling, restart):
+    from tideline.llm import jpeg as J
+
+    y, x = np.mgrid[0:37, 0:51]
+    image = (128 + 60 * np.sin(x / 7) + 50 * np.cos(y / 5)).astype(np.uint8)
+    planes = [image, *(np.full((-(-37 // sampling[0][1]), -(-51 // sampling[0][0])), 90, np.uint8) for _ in sampling[1:])]
+    for tables in (True, False):
+        back = J.first_component(baseline_jpeg(planes, sampling, 2, tables, restart))
+        assert back.shape == image.shape and np.abs(back.astype(int) - image).max() <= 4
+    whole = baseline_jpeg(planes, sampling, 2, True, restart)
+    for bad in (b"", b"no", whole[:200], whole[:-60], whole.replace(b"\xff\xc0", b"\xff\xc2")):
+        with pytest.raises(J.UnknownJpeg):
+            J.first_component(bad)
+
+
+def test_lossless_frames_by_the_general_decoder():
+    from tideline.llm import jpeg as J
+
+    frames = np.random.default_rng(4).integers(0, 256, (3, M.HEIGHT, M.WIDTH)).astype(np.uint8)
+    for frame, data in zip(frames, M.encode_frames(frames), strict=True):
+        assert (J.first_component(data) == frame).all()
+
+
+def test_clips_of_stored_files(spark):
+    dark, light = (np.full((24, 40), v, np.uint8) for v in (20, 220))
+    jpegs = [baseline_jpeg([p], [(1, 1)], 4, tables=False) for p in [dark] * 6 + [light] * 4]
+    body = b"".join(M._chunk(b"00dc", j) for j in jpegs)
+    avih = M._chunk(b"avih", (100_000).to_bytes(4, "little") + bytes(52))
+    avi = M._chunk(b"RIFF", b"AVI " + M._chunk(b"LIST", b"hdrl" + avih) + M._chunk(b"LIST", b"movi" + body))
+    own = M.write_avi(b"some payload" * 300)
+    rows = [(1, avi, "x"), (2, None, "x"), (3, b"", "x"), (4, b"RIFFnothing", "x"), (5, avi[:-30], "x"), (1, avi, "x"), (6, own, "x")]
+    df = spark.createDataFrame(rows, "id long, media binary, error string").repartition(2)
+    out = M.find_clips(df)
+    assert out.columns == ["id", "media", "n_frames", "clips", "error"]
+    got = {r.id: (r.n_frames, [(c.first_frame, c.n_frames, c.start_s, c.end_s) for c in r.clips], r.error is None) for r in out.collect()}
+    assert got[1] == (10, [(0, 6, 0.0, 0.6), (6, 4, 0.6, 1.0)], True) and got[2] == (0, [], True) and got[6][0] == 4
+    assert all(got[i] == (0, [], False) for i in (3, 4, 5)) and M.find_clips(df.limit(0)).count() == 0
+
+
 # --- html ---
 
 
@@ -206,6 +385,18 @@ def test_an_option_has_an_implied_end():
     assert [t for _, _, t in H.parse("<option>a<option>b<p>Main text</p>").segments] == ["a", "b", "Main text"]
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p title=don't>Hello there it's</p>", "Hello there it's"), ("<article><p>Short text.</p></article>", "Short text."), ("<div><p>First bit.</p><p>Second bit.</p></div>", "First bit.\nSecond bit."),
+        ("<script>if(a<b)c()</script><article><p>Main text here</p></article>", "Main text here"), ("<article><p>if x <y and z> w then stop</p></article>", "if x <y and z> w then stop"),
+        ('<article><p a="x>y" b=\'<p>\' c=d\'e>q</p></article>', "q"), ("plain text &amp; only", "plain text & only"), ("<nav><a href=/>Home</a></nav><footer>Copyright</footer>", ""), ("<article><p>one <z-y hidden>two</z-y></p></article>", "one\ntwo"),
+    ],
+)
+def test_small_pages(page, text):
+    assert H.extract([H.parse(page)], H.default_model()) == [text]
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(3)
     page = H.parse("<div><p>a</p><p>b<i>c</i></p></div><ul><li>d<li>e</ul>")
@@ -298,6 +489,12 @@ def test_archives_of_other_writers(spark, tmp_path):
     records = [W.build_record(i, "u", b"z" * (5000 * i), hashlib.sha1(b"z" * (5000 * i)).hexdigest(), None) for i in range(4)]
     (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
     (tmp_path / "b.warc").write_bytes(b"".join(records))
+    from pyarrow import fs
+
+    for name, kind in (("a.warc.gz", W.Members), ("b.warc", W._plain)):  # block by block as from memory
+        with fs.LocalFileSystem().open_input_file(str(tmp_path / name)) as f:
+            got = [(h, rest()) for h, rest in kind(W.FileBytes(f, block=7))]
+        assert got == [(h, rest()) for h, rest in kind((tmp_path / name).read_bytes())] and len(got) == 4
     out = W.read_warc(spark, str(tmp_path), "record_id", "payload_length").collect()
     assert sorted((W.page_of(r.record_id), r.payload_length) for r in out) == sorted([(i, 5000 * i) for i in range(4)] * 2)
 
