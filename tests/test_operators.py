@@ -197,3 +197,10 @@ def test_jdbc_catalog_loads_every_view():
     out = jdbc_catalog(spark, "jdbc:x", "it's", user="u")
     assert len(out) == 6 and all(v is options.return_value.load.return_value for v in out.values())
     assert any("TABLE_SCHEMA = 'it''s'" in c.kwargs["query"] for c in options.call_args_list)
+
+
+def test_committed_rows_are_in_order_of_commit_within_partitions(spark):
+    rows = [(t, h, h, kind, h * 7 % 31 + 40 if kind == "COMMIT" else None, "v") for t in (1, 2) for h in range(20) for kind in ("PREWRITE", "COMMIT")]
+    feed = spark.createDataFrame(rows, "table_id long, handle long, start_ts long, log_type string, commit_ts long, value string").repartition(5)
+    parts = P.committed(feed).select("commit_ts", "table_id", "handle").rdd.glom().collect()
+    assert sum(map(len, parts)) == 40 and all([tuple(r) for r in p] == sorted(tuple(r) for r in p) for p in parts)

@@ -2,17 +2,22 @@
 
 import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.operators import snapshot as X_
 from tideline.operators import twophase as P
 from tideline.options import OptionError, SinkOptions
+from tideline.plans import chunks as K
+from tideline.plans import fsm
 from tideline.plans.offsets import LogPurged
 from tideline.sources import catalog as C
 from tideline.sources import folders as F_
 from tideline.sources import jsonlog as J
 from tideline.streaming import state as X
+from tideline.streaming.job import CaptureJob
 
 
 def line(i, op="u", k=None, **more):
@@ -254,3 +259,91 @@ def test_catalog(spark):
     assert schema.simpleString() == "struct<a:bigint,b:bigint>" and not schema["a"].nullable and schema["a"].metadata["key"] == "PRI"
     rows = spark.createDataFrame([("t", 5, []), ("p", 6, [(8, "hash"), (7, "hash")])], "table_name string, table_id long, partitions array<struct<id:long,kind:string>>")
     assert [(r.table_name, r.partition_id) for r in C.partitions_of(rows).collect()] == [("t", 5), ("p", 7), ("p", 8)]
+
+
+def test_catalog_and_chunks_by_jdbc(spark):
+    """Against a database in this process: the catalog's views, tables by discovery, and a table read chunk by chunk."""
+    url = "jdbc:derby:memory:tideline;create=true"
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url)
+    run = connection.createStatement().execute
+    run("CREATE SCHEMA INFORMATION_SCHEMA")
+    for view, columns in (("SCHEMATA", "SCHEMA_NAME"), ("TABLES", "TABLE_SCHEMA TABLE_NAME"), ("COLUMNS", "TABLE_SCHEMA TABLE_NAME COLUMN_NAME COLUMN_TYPE IS_NULLABLE COLUMN_KEY"), ("KEY_COLUMN_USAGE", "TABLE_SCHEMA TABLE_NAME"), ("STATISTICS", "TABLE_SCHEMA TABLE_NAME"), ("COLLATIONS", "COLLATION_NAME")):
+        run(f"CREATE TABLE INFORMATION_SCHEMA.{view} ({', '.join(f'{c} VARCHAR(64)' for c in columns.split())})")
+    run("INSERT INTO INFORMATION_SCHEMA.SCHEMATA VALUES 'demo', 'it''s'")
+    run("INSERT INTO INFORMATION_SCHEMA.COLUMNS VALUES ('demo', 't', 'k', 'bigint', 'NO', 'PRI'), ('demo', 't', 'v', 'int unsigned', 'YES', ''), ('other', 'u', 'k', 'int', 'NO', 'PRI')")
+    run("CREATE TABLE T (K BIGINT, V INT)")
+    run("INSERT INTO T VALUES " + ", ".join(f"({i}, {i * 2})" for i in range(20)) + ", (NULL, 7)")
+    views = C.jdbc_catalog(spark, url, "demo")
+    columns = views["columns"].toDF(*(c.lower() for c in views["columns"].columns))
+    assert views["schemata"].count() == 1 and {(r.column_name, r.column_key) for r in columns.collect()} == {("k", "PRI"), ("v", "")}
+    assert C.jdbc_catalog(spark, url, "it's")["schemata"].count() == 1
+    assert [r.table_id for r in C.captured(columns, r"demo\..*").collect()] == ["demo.t"]
+    ranges = [(None, 8), (8, 15), (15, None)]
+    parts = C.read_chunks_jdbc(spark, url, "T", [p.replace("`", "") for p in K.scan_predicates("K", ranges)])
+    assert parts.rdd.getNumPartitions() == 3 and parts.rdd.glom().map(len).collect() == [9, 7, 5]
+
+
+def test_a_job_with_tables_added_and_a_restart(spark, tmp_path):
+    """Tables of a changing store, whose log is written as they change: the sink must hold each table's state, whatever is read when."""
+    J.register(spark)
+    rng, store, number = random.Random(6), {"d.a": {}, "d.b": {}}, [0]
+    folder = tmp_path / "log"
+    folder.mkdir()
+
+    def change(n):
+        with open(folder / f"l.{number[0]:06d}.jsonl", "a") as f:
+            for _ in range(n):
+                number[0] += 1
+                t, k = rng.choice(["d.a", "d.b"]), rng.randrange(20)
+                op = "d" if k in store[t] and rng.random() < 0.3 else "u" if k in store[t] else "c"
+                store[t].pop(k, None) if op == "d" else store[t].update({k: number[0]})
+                f.write(json.dumps({"op": op, "key": {"pk": k}, "after": None if op == "d" else {"v": number[0]}, "source": {"db": "d", "table": t[2:], "ts_ms": number[0]}}) + "\n")
+
+    def shaped(raw):
+        return raw.where("kind = 'data'").select("table_id", F.get_json_object("key", "$.pk").cast("long").alias("pk"), "op", F.get_json_object("after", "$.v").cast("long").alias("v"), F.col("ts_ms").alias("pos"))
+
+    def log():
+        return shaped(spark.readStream.format("jsonlog").load(str(folder)))
+
+    def between(table, low, high):
+        return shaped(spark.read.format("jsonlog").load(str(folder))).where((F.col("table_id") == table) & (F.col("pos") > low) & (F.col("pos") <= high))
+
+    def driver(table):
+        def read(lo, hi):
+            rows = [(k, v) for k, v in store[table].items() if (lo is None or k >= lo) and (hi is None or k < hi)]
+            return spark.createDataFrame(rows, "pk long, v long")
+
+        hooks = {"after_low": lambda _: change(3), "before_high": lambda _: change(3)}
+        return X_.SnapshotDriver(lambda: number[0], read, hooks)
+
+    drivers = {t: (driver(t), [(None, 7), (7, 15), (15, None)]) for t in store}
+    sink = X.UpsertSink(SinkOptions.read({"sink.data.save.directory": str(tmp_path / "state"), "primary-key": "table_id,pk", "sink.create.schema.allowed": "true", "sink.parallelism": "2"}), ["v"])
+
+    def job(tables):
+        return CaptureJob(spark, str(tmp_path / "job"), tables, log, between, sink, "pk")
+
+    def held(table):
+        return {r.pk: r.v for r in sink.read(spark).where(F.col("table_id") == table).collect()}
+
+    change(40)
+    one = job({"d.a": drivers["d.a"]})
+    one.run()
+    assert held("d.a") == store["d.a"] and held("d.b") == {} and one.status is fsm.Status.INITIAL_FINISHED
+    change(30)
+    one = job({"d.a": drivers["d.a"]})  # a restart
+    one.run()
+    assert held("d.a") == store["d.a"] and one.status is fsm.Status.INITIAL_FINISHED
+    change(10)
+    one = job(drivers)
+    one.run()
+    change(10)  # not read yet when the table is added
+    one.add(["d.b"])
+    assert one.status is fsm.Status.NEWLY_ADDED_ASSIGNING
+    change(10)
+    one = job(drivers)  # a restart before the new table is read
+    one.run()
+    assert held("d.a") == store["d.a"] and held("d.b") == store["d.b"] and one.status is fsm.Status.NEWLY_ADDED_FINISHED
+    change(25)
+    one.run()
+    assert held("d.a") == store["d.a"] and held("d.b") == store["d.b"]
+    assert {c["table_id"] for c in one.control.chunks} == {"d.a", "d.b"} and one.control.finished()

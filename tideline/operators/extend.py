@@ -42,7 +42,7 @@ def convert_columns(df: DataFrame, converters: dict[str, Converter]) -> DataFram
 
 def of_known_tables(log: DataFrame, known: DataFrame, mode: str = "fail", table: str = "table_id") -> DataFrame:
     """Changes of known tables. Others: fail raises as soon as one is there, warn counts them as a metric, skip drops them."""
-    names = F.broadcast(known.select(table).distinct().withColumn("__known", F.lit(True)))
+    names = known.select(table).distinct().withColumn("__known", F.lit(True))  # adaptive execution broadcasts it when it has seen its size
     joined = log.join(names, table, "left")
     if mode == "fail":
         message = F.concat(F.lit("a change of the unknown table "), F.coalesce(F.col(table), F.lit("null")))

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.operators.twophase import committed
+from tideline.options import KeyValueOptions, StartupMode
 from tideline.plans.chunks import is_record_key
 
 
@@ -33,6 +35,32 @@ def resolve_locks(versions: DataFrame, locks: DataFrame, commits: DataFrame, ver
     return versions.unionByName(known.select(*versions.columns))
 
 
+def snapshot_and_feed(versions: DataFrame, locks: DataFrame, commits: DataFrame, feed: DataFrame, options: KeyValueOptions, version: int, resolved: int, table: str = "table_id") -> DataFrame:
+    """The changes of a key-value source, as (table, key, op, values, commit_ts): tables at one version, then what was committed after it.
+
+    options choose the tables (table-list less table-list.excluded) and the start: initial reads the snapshot at the
+    version as puts and goes on with the feed, snapshot ends there, latest-offset begins after the version, timestamp
+    after the option's. versions, locks and commits are as in resolve_locks(); feed has prewrites, commits and
+    rollbacks (see twophase.committed) with handle as key, and counts up to resolved. The merge by key of what comes
+    out is the tables' state at the resolved time.
+    """
+    wanted, out = options.table_names, options.excluded_names
+    chosen = F.lit(True) if not wanted else F.col(table).isin(wanted)
+    chosen = chosen & ~F.col(table).isin(out) if out else chosen
+    mode = StartupMode.of(options.startup_mode)
+    since = options.startup_timestamp if mode is StartupMode.TIMESTAMP else version
+    rows = committed(feed.where(chosen), resolved).where(F.col("commit_ts") > since)
+    values = [c for c in rows.columns if c not in (table, "handle", "start_ts", "commit_ts", "op")]
+    later = rows.select(table, F.col("handle").alias("key"), "op", *values, "commit_ts")
+    if not mode.reads_snapshot:
+        return later
+    keyed, cols = [versions.where(chosen), locks.where(chosen)], [c for c in versions.columns if c not in (table, "key", "commit_ts", "op")]
+    both = F.struct(F.col(table).alias("t"), F.col("key").alias("k"))
+    held = at_version(resolve_locks(*(x.withColumn("key", both).drop(table) for x in keyed), commits, version), version, values=(*cols, "commit_ts"))
+    snapshot = held.select(F.col("key.t").alias(table), F.col("key.k").alias("key"), F.lit("put").alias("op"), *cols, "commit_ts")
+    return snapshot if not mode.reads_log else snapshot.unionByName(later)
+
+
 def common_version(finished: DataFrame, position: str = "position") -> DataFrame:
     """(version): all tables are read at the same version, at which their log begins."""
     return finished.agg(F.max(position).alias("version"))

@@ -215,9 +215,16 @@ class KeyValueOptions(Options):
     excluded: str = key("table-list.excluded", "")
     startup_mode: str = key("scan.startup.mode", "initial")
     startup_timestamp: int = key("scan.startup.timestamp-millis", 0, least=0)
-    scan_batch: int = key("scan.batch.size", 1000, above=0)
     parallelism: int = key("scan.parallelism", 1, above=0)
 
+    @property
+    def table_names(self) -> list[str]:
+        return [t.strip() for t in (self.tables or "").split(",") if t.strip()]
+
+    @property
+    def excluded_names(self) -> list[str]:
+        return [t.strip() for t in self.excluded.split(",") if t.strip()]
+
 
 @dataclass(frozen=True)
 class SinkOptions(Options):
@@ -247,6 +254,8 @@ class SinkOptions(Options):
 
 @dataclass(frozen=True)
 class PipelineOptions(Options):
+    """Of a stream's run (streaming.state.upsert_stream): its name, its tasks after a shuffle, how often it commits."""
+
     name: str = key("pipeline.name", "tideline")
     parallelism: int = key("pipeline.parallelism", 1, above=0)
     checkpoint_interval: float = key("pipeline.checkpoint.interval", 300.0, kind="duration", above=0)

@@ -1038,4 +1038,27 @@ def typed_compare(spark, sf_dir):
     return out[0].union(out[1])
 
 
+@query("""
+WITH v AS (SELECT user_id % 4 AS table_id, event_id % 700 AS key, event_id AS commit_ts, CASE event_type WHEN 'error' THEN 'delete' ELSE 'put' END AS op, event_type AS value FROM events)
+SELECT table_id, key, arg_max(value, commit_ts) AS value FROM v WHERE table_id IN (1, 2) AND commit_ts <= 8000 GROUP BY table_id, key HAVING arg_max(op, commit_ts) = 'put'""")
+def kv_snapshot_and_feed(spark, sf_dir):
+    """Tables of a key-value store at a version, then the feed of what was committed after it: their state at the resolved time."""
+    from tideline.options import KeyValueOptions
+
+    e, i = table(spark, sf_dir, "events"), F.col("event_id")
+    row = [(F.col("user_id") % 4).alias("table_id"), (i % 700).alias("key"), i.alias("commit_ts"), F.when(F.col("event_type") == "error", "delete").otherwise("put").alias("op"), F.col("event_type").alias("value")]
+    versions = e.where(i <= 3000).select(*row).where("NOT (commit_ts > 2900 AND commit_ts % 5 = 0)")
+    locked = e.where((i > 2900) & (i <= 3000) & (i % 5 == 0))  # written, and committed, but still under their locks
+    locks = locked.select(*row[:2], (i - 1).alias("start_ts"), i.alias("primary"), *row[3:])
+    commits = locked.select(i.alias("primary"), (i - 1).alias("start_ts"), i.alias("commit_ts"))
+    later = e.where(i > 3000)
+    mark = [row[0], (i % 700).alias("handle"), (i - 1).alias("start_ts")]
+    pre = later.select(*mark, F.lit("PREWRITE").alias("log_type"), F.lit(None).cast("long").alias("commit_ts"), *row[3:])
+    commit = later.select(*mark, F.lit("COMMIT").alias("log_type"), row[2], F.lit(None).cast("string").alias("op"), F.lit(None).cast("string").alias("value"))
+    options = KeyValueOptions.read({"pd-addresses": "-", "table-list": "1,2,3", "table-list.excluded": "3"})
+    changes = B.snapshot_and_feed(versions, locks, commits, pre.union(commit), options, 3000, 8000)
+    state = changes.withColumn("op", F.when(F.col("op") == "delete", "d").otherwise("u"))
+    return M.latest_values(state, ["table_id", "key"], ["value"], pos="commit_ts")
+
+
 FLAGSHIP = backfill_then_stream_state

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.twophase import KEY, TYPES, committed, resolved_over, unmatched
-from tideline.options import OptionError, SinkOptions
+from tideline.options import OptionError, PipelineOptions, SinkOptions
 
 
 class Versions:
@@ -96,9 +96,18 @@ class UpsertSink:
             changes.unpersist()
 
 
-def upsert_stream(log: DataFrame, sink: UpsertSink, checkpoint: str, **trigger) -> StreamingQuery:
-    """Runs a stream into a sink: what is there now, or by trigger; sink.trigger() has that of the flush interval."""
-    return log.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+def upsert_stream(log: DataFrame, sink: UpsertSink, checkpoint: str, pipeline: PipelineOptions | None = None, **trigger) -> StreamingQuery:
+    """Runs a stream into a sink: by trigger, else by the pipeline's checkpoint interval, else what is there now. sink.options.trigger is that of the flush interval."""
+    writer = log.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    if pipeline is None:
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+    conf, name = log.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    conf.set(name, str(pipeline.parallelism))  # a query keeps what was set when it began
+    try:
+        return writer.queryName(pipeline.name).trigger(**(trigger or {"processingTime": f"{pipeline.checkpoint_interval:g} seconds"})).start()
+    finally:
+        conf.set(name, before)
 
 
 class CommitSink:
