@@ -1,5 +1,6 @@
 """The driver's contract: names, columns and rows of queries and SQL."""
 
+import builtins
 import os
 import re
 
@@ -31,6 +32,23 @@ def test_the_corpus_subpackage_is_used_by_nothing_else():
                     assert not re.search(r"tideline\.llm|from tideline import llm", text.read()), f
 
 
+@pytest.mark.parametrize("missing, passed_over", [("corpus_pipeline", True), ("tideline.llm", True), ("tideline.llm.queries", True), ("numpy", False)])
+def test_only_a_missing_corpus_package_is_passed_over(monkeypatch, missing, passed_over):
+    real = builtins.__import__
+
+    def lacking(name, *args, **more):
+        if name == "corpus_pipeline":
+            raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
+        return real(name, *args, **more)
+
+    monkeypatch.setattr(builtins, "__import__", lacking)
+    if passed_over:
+        assert "pipeline" not in entry.queries() and len(entry.queries()) > 60
+    else:
+        with pytest.raises(ModuleNotFoundError):
+            entry.queries()
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 def test_entry(spark):
     assert entry.entry(spark).columns == ["pk", "event_id", "value", "pos"]
